@@ -1,5 +1,13 @@
 """Spark jobs that prepare, audit, vectorise, score and compare labelled text."""
 
-from textprep.config import PrepConfig
+import sys
 
-__all__ = ["PrepConfig"]
+from pyspark import cloudpickle
+
+from textprep.config import PrepConfig, SequenceConfig, TfidfConfig
+
+# Functions used inside tasks travel with the job, so executors need no
+# installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+__all__ = ["PrepConfig", "SequenceConfig", "TfidfConfig"]

@@ -8,14 +8,15 @@ table by ``row_id``, which is unique and cannot be skewed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textprep.config import PrepConfig
 from textprep.operators.keys import text_key
 from textprep.operators.skew import lookup
 
-CONFLICT = F.col("label_low") < F.col("label_high")
+def is_conflict() -> Column:
+    return F.col("label_low") < F.col("label_high")
 
 
 def text_groups(df: DataFrame, text: str = "clean_text") -> DataFrame:
@@ -31,7 +32,7 @@ def text_groups(df: DataFrame, text: str = "clean_text") -> DataFrame:
 
 def dedup_stats(groups: DataFrame, cfg: PrepConfig = PrepConfig()) -> DataFrame:
     """Row counts before, dropped by each rule, and after, in one row."""
-    dropped = CONFLICT if cfg.drop_conflicting_duplicates else F.lit(False)
+    dropped = is_conflict() if cfg.drop_conflicting_duplicates else F.lit(False)
     extra = F.col("n_rows") - 1 if cfg.deduplicate_by_clean_text else F.lit(0)
     zero = F.lit(0)
     sums = groups.agg(
@@ -49,17 +50,27 @@ def dedup_stats(groups: DataFrame, cfg: PrepConfig = PrepConfig()) -> DataFrame:
     )
 
 
+def _mark_conflicts(df: DataFrame, groups: DataFrame, text: str) -> DataFrame:
+    conflicts = groups.filter(is_conflict()).select("text_key", "n_rows", F.lit(True).alias("_conflict"))
+    keyed = df.withColumn("text_key", text_key(F.col(text)))
+    return lookup(keyed, conflicts, "text_key", ["_conflict"], scatter="row_id", weight="n_rows")
+
+
 def drop_conflicts(df: DataFrame, groups: DataFrame, text: str = "clean_text") -> DataFrame:
     """Without every row of a text that carries more than one label."""
-    conflicts = groups.filter(CONFLICT).select("text_key", "n_rows", F.lit(True).alias("_conflict"))
-    keyed = df.withColumn("text_key", text_key(F.col(text)))
-    marked = lookup(keyed, conflicts, "text_key", ["_conflict"], scatter="row_id", weight="n_rows")
+    marked = _mark_conflicts(df, groups, text)
     return marked.filter(F.col("_conflict").isNull()).select(*df.columns)
 
 
+def conflict_rows(df: DataFrame, groups: DataFrame, text: str = "clean_text") -> DataFrame:
+    """The rows ``drop_conflicts`` removes."""
+    marked = _mark_conflicts(df, groups, text)
+    return marked.filter(F.col("_conflict").isNotNull()).select(*df.columns)
+
+
 def surviving_rows(groups: DataFrame, cfg: PrepConfig = PrepConfig()) -> DataFrame:
     """``row_id`` of the first row of each text that is kept."""
-    kept = groups.filter(~CONFLICT) if cfg.drop_conflicting_duplicates else groups
+    kept = groups.filter(~is_conflict()) if cfg.drop_conflicting_duplicates else groups
     return kept.select(F.col("first_row").alias("row_id"))
 
 

@@ -46,6 +46,12 @@ def staging_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="textprep-"))
 
 
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A new path in the staging folder."""
+    app = spark.sparkContext.applicationId
+    return f"{staging_root(spark)}/textprep/{app}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the staging folder and return the table read back.
 
@@ -53,8 +59,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     table survives lost executors and cuts the lineage.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{staging_root(spark)}/textprep/{app}/{name}-{uuid.uuid4().hex}"
+    path = staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
