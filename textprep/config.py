@@ -84,6 +84,7 @@ class TfidfConfig:
     max_df: float = 0.95
     c: float = 1.0
     max_iter: int = 400
+    tol: float = 1e-7
     threshold: float = DEFAULT_THRESHOLD
 
 
