@@ -142,3 +142,14 @@ def test_evaluate_struct(spark):
     assert m["classification_report"]["1"]["f1-score"] == m["f1"]
     assert m["classification_report"]["accuracy"] == m["accuracy"]
     assert sum(map(sum, m["confusion_matrix"])) == 300
+
+
+@pytest.mark.parametrize("given", [None, 0.3])
+def test_evaluate_splits(spark, given):
+    rows = [(part, y, p) for part, seed in (("train", 0), ("val", 1), ("test", 2)) for y, p in scores(seed)]
+    row = metrics.evaluate_splits(spark.createDataFrame(rows, "split string, label int, prob double"), given).first()
+    thr, f1 = best(scores(1)) if given is None else (given, None)
+    assert row["threshold_used"] == thr
+    assert tuple(row["val_threshold_search"]) == (given is None, f1)
+    tp = sum(y for y, p in scores(2) if p >= thr)
+    assert row["test_metrics"]["confusion_matrix"][1][1] == tp

@@ -30,6 +30,15 @@ def best_model(board: DataFrame) -> DataFrame:
     return rank_models(board).limit(1)
 
 
+def training_table(summaries: DataFrame) -> DataFrame:
+    """Run summaries (with ``source_file``) as one row per model and split."""
+    parts = F.array(
+        *[F.struct(F.lit(s).alias("split"), F.col(f"{s}_metrics").alias("m")) for s in ("val", "test")]
+    )
+    rows = summaries.select("model", "source_file", F.explode(parts).alias("p"))
+    return rows.select("model", "p.split", *[F.col(f"p.m.{m}").alias(m) for m in METRICS], "source_file")
+
+
 def metrics_long(board: DataFrame, keys: list[str]) -> DataFrame:
     """One row per model and metric, for tables and heat maps."""
     return board.unpivot(keys, list(METRICS), "metric", "value")

@@ -81,3 +81,8 @@ def deduplicate(df: DataFrame, groups: DataFrame, cfg: PrepConfig = PrepConfig()
     if cfg.drop_conflicting_duplicates:
         return drop_conflicts(df, groups)
     return df
+
+
+def kept_rows(df: DataFrame, groups: DataFrame, cfg: PrepConfig = PrepConfig()) -> DataFrame:
+    """``row_id`` and ``label`` of the rows ``deduplicate`` keeps; moves no text."""
+    return deduplicate(df, groups, cfg).select("row_id", "label")

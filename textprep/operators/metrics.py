@@ -115,52 +115,67 @@ def _report_struct() -> Column:
     )
 
 
-def _pairs_won(below: Column) -> Column:
-    """Twice the positive/negative pairs in the right order, ties counting one."""
-    pos = F.col("pos").cast("decimal(19,0)")
-    return F.sum(pos * (2 * below + F.col("neg")).cast("decimal(19,0)"))
+def score_table(df: DataFrame, *by: str) -> DataFrame:
+    """Rows of each label per distinct score: all that metrics need of a table.
 
+    Staged, so that the predictions are read once however many metrics follow.
+    """
+    counts = df.groupBy(*by, "prob").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
+    )
+    return stage(counts, "scores")
 
-def roc_auc(df: DataFrame, *by: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """Exact area under the ROC curve, ties counting one half; null for one class.
 
-    Rows are first reduced to distinct scores. Few of them are ranked by one
-    window; more are cut into score ranges, each ranked on its own on top of
-    the number of negatives in the ranges below it.
-    """
-    scores = stage(
-        df.groupBy(*by, "prob").agg(
-            F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
-        ),
-        "scores",
+def _counts_at(scores: DataFrame, threshold: float, *by: str) -> DataFrame:
+    """``confusion_counts`` from a score table."""
+    hit = apply_threshold(F.col("prob"), threshold) == 1
+
+    def cell(side: Column, rows: str) -> Column:
+        return F.coalesce(F.sum(F.when(side, F.col(rows))), F.lit(0))
+
+    return scores.groupBy(*by).agg(
+        cell(~hit, "neg").alias("tn"),
+        cell(hit, "neg").alias("fp"),
+        cell(~hit, "pos").alias("fn"),
+        cell(hit, "pos").alias("tp"),
     )
+
+
+def _negatives_below(scores: DataFrame, by: tuple[str, ...], window_rows: int) -> DataFrame:
+    """Add ``below``: the negatives with a smaller score.
+
+    Few scores are summed up by one window; more are cut into score ranges,
+    each summed on its own on top of the total of the ranges below it.
+    """
     keys = list(by) or [F.lit(0)]
     before = (Window.unboundedPreceding, -1)
     n = scores.count()
     if n <= window_rows:
         order = Window.partitionBy(*keys).orderBy("prob").rowsBetween(*before)
-        ranked = scores.withColumn("below", F.coalesce(F.sum("neg").over(order), F.lit(0)))
-    else:
-        # Range boundaries are sampled anew by every job: pin them by staging.
-        ranges = stage(
-            scores.repartitionByRange(-(-n // window_rows) * 2, *by, "prob").withColumn(
-                "_range", F.spark_partition_id()
-            ),
-            "score-ranges",
-        )
-        totals = ranges.groupBy(*by, "_range").agg(F.sum("neg").alias("_neg"))
-        earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(*before)
-        offsets = totals.select(
-            *by, "_range", F.coalesce(F.sum("_neg").over(earlier), F.lit(0)).alias("_offset")
-        )
-        order = Window.partitionBy(*by, "_range").orderBy("prob").rowsBetween(*before)
-        ranked = (
-            ranges.withColumn("_inside", F.coalesce(F.sum("neg").over(order), F.lit(0)))
-            .join(offsets, [*by, "_range"])
-            .withColumn("below", F.col("_inside") + F.col("_offset"))
-        )
-    sums = ranked.groupBy(*by).agg(
-        _pairs_won(F.col("below")).cast("double").alias("_won"),
+        return scores.withColumn("below", F.coalesce(F.sum("neg").over(order), F.lit(0)))
+    # Range boundaries are sampled anew by every job: pin them by staging.
+    ranges = stage(
+        scores.repartitionByRange(-(-n // window_rows) * 2, *by, "prob").withColumn(
+            "_range", F.spark_partition_id()
+        ),
+        "score-ranges",
+    )
+    totals = ranges.groupBy(*by, "_range").agg(F.sum("neg").alias("_neg"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(*before)
+    offsets = totals.select(
+        *by, "_range", F.coalesce(F.sum("_neg").over(earlier), F.lit(0)).alias("_offset")
+    )
+    order = Window.partitionBy(*by, "_range").orderBy("prob").rowsBetween(*before)
+    inside = ranges.withColumn("_inside", F.coalesce(F.sum("neg").over(order), F.lit(0)))
+    return inside.join(offsets, [*by, "_range"]).withColumn("below", F.col("_inside") + F.col("_offset"))
+
+
+def _auc(scores: DataFrame, by: tuple[str, ...], window_rows: int) -> DataFrame:
+    # Twice the positive/negative pairs in the right order, ties counting one;
+    # decimals, since the product outgrows a BIGINT.
+    won = F.col("pos").cast("decimal(19,0)") * (2 * F.col("below") + F.col("neg")).cast("decimal(19,0)")
+    sums = _negatives_below(scores, by, window_rows).groupBy(*by).agg(
+        F.sum(won).cast("double").alias("_won"),
         F.sum("pos").cast("double").alias("_pos"),
         F.sum("neg").cast("double").alias("_neg"),
     )
@@ -168,6 +183,11 @@ def roc_auc(df: DataFrame, *by: str, window_rows: int = WINDOW_ROWS) -> DataFram
     return sums.select(*by, F.when(pairs > 0, F.col("_won") / pairs).alias("roc_auc"))
 
 
+def roc_auc(df: DataFrame, *by: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """Exact area under the ROC curve, ties counting one half; null for one class."""
+    return _auc(score_table(df, *by), by, window_rows)
+
+
 def best_f1_threshold(df: DataFrame) -> DataFrame:
     """The threshold of the sweep with the best f1; the lowest wins a tie.
 
@@ -200,10 +220,11 @@ def best_f1_threshold(df: DataFrame) -> DataFrame:
 def evaluate(df: DataFrame, threshold: float = DEFAULT_THRESHOLD, *by: str) -> DataFrame:
     """All metrics of a prediction table as one struct ``metrics`` per group.
 
-    Also gives ``num_samples``. ``df`` is read twice: stage it when costly.
+    Also gives ``num_samples``. The predictions are read once.
     """
-    counts = confusion_counts(with_prediction(df, threshold), *by)
-    auc = roc_auc(df, *by)
+    scores = score_table(df, *by)
+    counts = _counts_at(scores, threshold, *by)
+    auc = _auc(scores, by, WINDOW_ROWS)
     keys = list(by) or ["_one"]
     if not by:
         counts, auc = (d.withColumn("_one", F.lit(1)) for d in (counts, auc))
@@ -221,6 +242,29 @@ def evaluate(df: DataFrame, threshold: float = DEFAULT_THRESHOLD, *by: str) -> D
     )
 
 
+def evaluate_splits(df: DataFrame, threshold: float | None = None) -> DataFrame:
+    """Validation and test metrics of scored splits in one row.
+
+    Without a threshold the one with the best validation f1 is searched and
+    then applied to both splits.
+    """
+    searched = threshold is None
+    best_f1 = None
+    if searched:
+        threshold, best_f1 = best_f1_threshold(df.filter(F.col("split") == "val")).first()
+    by_split = evaluate(df.filter(F.col("split") != "train"), threshold, "split")
+    measured = [
+        F.first(F.when(F.col("split") == s, F.col("metrics")), ignorenulls=True).alias(f"{s}_metrics")
+        for s in ("val", "test")
+    ]
+    search = F.struct(
+        F.lit(searched).alias("enabled"), F.lit(best_f1).cast("double").alias("best_f1_at_threshold")
+    )
+    return by_split.agg(*measured).select(
+        F.lit(threshold).alias("threshold_used"), search.alias("val_threshold_search"), "val_metrics", "test_metrics"
+    )
+
+
 def checkpoint_metrics(df: DataFrame) -> DataFrame:
     """accuracy, precision, recall, f1 and AUC at 0.5 of ``logits``, one row."""
     scored = df.withColumn("prob", softmax_prob(F.col("logits")))

@@ -72,7 +72,11 @@ def row_hash(seed: int, row_id: Column) -> Column:
 def _histogram(rows: DataFrame, depth: int) -> dict[tuple[int, str], int]:
     """Rows per label and hash prefix; at most 4,096 prefixes per open bucket."""
     buckets = rows.groupBy("label", F.substring("_hash", 1, depth).alias("prefix")).count()
-    return {(r["label"], r["prefix"]): r["count"] for r in buckets.collect()}
+    bound = 2 * MAX_LABELS * 16**DIGITS
+    found = buckets.limit(bound + 1).collect()
+    if len(found) > bound:
+        raise ValueError(f"more than {MAX_LABELS} labels to stratify by")
+    return {(r["label"], r["prefix"]): r["count"] for r in found}
 
 
 def _under(cuts: list[_Cut]) -> Column:
@@ -136,12 +140,15 @@ def _find_cuts(rows: DataFrame, cfg: PrepConfig) -> dict[tuple[int, str], tuple[
     return {(c.label, c.part): at[(c.label, c.prefix, c.offset)] for c in cuts}
 
 
-def stratified_split(df: DataFrame, cfg: PrepConfig = PrepConfig()) -> DataFrame:
+def stratified_split(
+    df: DataFrame, cfg: PrepConfig = PrepConfig(), keys: DataFrame | None = None
+) -> DataFrame:
     """Add ``split``. Needs unique ``row_id`` and an integer ``label``.
 
-    ``df`` is read by a few narrow jobs first; stage it when it is costly.
+    A few narrow jobs first read ``keys``: ``row_id`` and ``label`` of the same
+    rows, by default taken from ``df``. Stage what they read when it is costly.
     """
-    narrow = df.select("label", "row_id").withColumn(
+    narrow = (df if keys is None else keys).select("label", "row_id").withColumn(
         "_hash", row_hash(cfg.random_state, F.col("row_id"))
     )
     cuts = _find_cuts(narrow, cfg)

@@ -25,6 +25,17 @@ from textprep.sources.corpus import read_corpus, read_split, read_splits, resolv
 from textprep.sources.paths import join
 
 
+def split_kept(cleaned: DataFrame, groups: DataFrame, cfg: PrepConfig) -> DataFrame:
+    """The rows that survive deduplication, with their split.
+
+    Survivors and quotas are settled on row ids and labels, so the texts take
+    part in a single join.
+    """
+    keys = stage(dedup.kept_rows(cleaned, groups, cfg), "kept-rows")
+    kept = cleaned.join(keys.select("row_id"), "row_id", "left_semi").select(*cleaned.columns)
+    return split.stratified_split(kept, cfg, keys)
+
+
 def prepare(
     spark: SparkSession,
     source: str,
@@ -44,8 +55,7 @@ def prepare(
     cleaned = stage(prepare_rows(raw, cfg), "cleaned")
     groups = stage(dedup.text_groups(cleaned), "text-groups")
     stats = dedup.dedup_stats(groups, cfg)
-    kept = stage(dedup.deduplicate(cleaned, groups, cfg), "kept")
-    write_splits(split.stratified_split(kept, cfg), target, csv)
+    write_splits(split_kept(cleaned, groups, cfg), target, csv)
 
     done = spark.read.parquet(join(target, "splits.parquet"))
     funnel = stats.withColumn("rows_before_preprocessing", F.lit(rows_before)).withColumn(
@@ -119,7 +129,7 @@ def train_tfidf_logreg(
     scored = stage(
         model.predict_prob(held_out, fitted, vocab, cfg, "text").select("split", "label", "prob"), "scores"
     )
-    by_split = metrics.evaluate(scored, cfg.threshold, "split")
+    measured = metrics.evaluate_splits(scored, cfg.threshold).select("val_metrics", "test_metrics")
     documents.save_classifier(fitted, vocab, model_dir)
 
     head = spark.range(1).select(
@@ -148,12 +158,7 @@ def train_tfidf_logreg(
         head,
         _packed(dropped, "dropped_eval_rows"),
         audits,
-        by_split.agg(
-            *[
-                F.first(F.when(F.col("split") == s, F.col("metrics")), ignorenulls=True).alias(f"{s}_metrics")
-                for s in ("val", "test")
-            ]
-        ),
+        measured,
     )
     documents.write_json(summary, join(model_dir, METRICS_NAME))
     return summary
@@ -215,7 +220,7 @@ def encode_sequences(
 def _write_result(
     scored: DataFrame, threshold: float, target: str, fields: dict, optional: dict
 ) -> DataFrame:
-    measured = metrics.evaluate(stage(scored.select("label", "prob"), "scores"), threshold)
+    measured = metrics.evaluate(scored, threshold)
     row = measured.select(
         *[F.lit(v).alias(k) for k, v in fields.items()],
         F.lit(threshold).alias("threshold_used"),

@@ -132,6 +132,14 @@ board AS (SELECT source AS model_name, 'test' AS split, tn + fp + fn + tp AS num
   {_F1} AS f1_full, auc.roc_auc AS auc_full FROM counts JOIN auc USING (source))"""
 
 
+def _sweep(scores: str) -> str:
+    return f"""tied AS (SELECT prob, sum(label) AS pos, count(*) - sum(label) AS neg FROM {scores} GROUP BY prob),
+thresholds AS (SELECT 0.1::DOUBLE + i * ((0.1::DOUBLE + 0.01::DOUBLE) - 0.1::DOUBLE) AS thr FROM range(81) r(i)),
+cells AS (SELECT thr, coalesce(sum(pos) FILTER (prob >= thr), 0) AS tp, coalesce(sum(neg) FILTER (prob >= thr), 0) AS fp,
+  coalesce(sum(pos) FILTER (prob < thr), 0) AS fn FROM tied CROSS JOIN thresholds GROUP BY thr),
+best AS (SELECT thr, {_F1} AS f1 FROM cells ORDER BY f1 DESC, thr LIMIT 1)"""
+
+
 def _report_line(name: str, p: str, r: str, f: str, n: str) -> str:
     return (
         f"SELECT '{name}' AS line, round({p}, 6) AS precision, round({r}, 6) AS recall, "
@@ -239,12 +247,13 @@ SELECT (SELECT count(*) FROM raw) AS rows_before, (SELECT count(label) FROM coer
         ]
     ),
     "roc_auc": f"WITH {_LARGE}, {_auc()} SELECT round(roc_auc, 6) AS roc_auc FROM auc",
-    "best_f1_threshold": f"""WITH {_LARGE}, tied AS (SELECT prob, sum(label) AS pos, count(*) - sum(label) AS neg FROM scores GROUP BY prob),
-thresholds AS (SELECT 0.1::DOUBLE + i * ((0.1::DOUBLE + 0.01::DOUBLE) - 0.1::DOUBLE) AS thr FROM range(81) r(i)),
-cells AS (SELECT thr, coalesce(sum(pos) FILTER (prob >= thr), 0) AS tp, coalesce(sum(neg) FILTER (prob >= thr), 0) AS fp,
-  sum(pos) FILTER (prob < thr) AS fn FROM tied CROSS JOIN thresholds GROUP BY thr)
-SELECT round(thr, 6) AS threshold, round(f1, 6) AS best_f1 FROM (SELECT thr, {_ratio('2 * tp', '2 * tp + fp + coalesce(fn, 0)')} AS f1 FROM cells)
-ORDER BY f1 DESC, thr LIMIT 1""",
+    "best_f1_threshold": f"""WITH {_LARGE}, {_sweep('scores')} SELECT round(thr, 6) AS threshold, round(f1, 6) AS best_f1 FROM best""",
+    "val_threshold_on_test": f"""WITH {_SMALL}, {_PRESPLIT}, parted AS (SELECT s.*, r.split FROM scores s JOIN rows r USING (row_id)),
+{_sweep("(SELECT * FROM parted WHERE split = 'val')")}, counts AS (SELECT count(*) FILTER (label = 0 AND prob < thr) AS tn,
+  count(*) FILTER (label = 0 AND prob >= thr) AS fp, count(*) FILTER (label = 1 AND prob < thr) AS fn,
+  count(*) FILTER (label = 1 AND prob >= thr) AS tp FROM parted, best WHERE split = 'test')
+SELECT round(thr, 6) AS threshold, round(best.f1, 6) AS best_val_f1, round({_F1}, 6) AS test_f1, round({_ACC}, 6) AS test_accuracy
+  FROM best, counts""",
     "softmax_prob": f"WITH {_LOGITS} SELECT row_id, round(prob, 6) AS prob FROM soft",
     "checkpoint_metrics": f"""WITH {_LOGITS}, {_counts('soft')}, {_auc('soft')} SELECT round({_ACC}, 6) AS accuracy,
   round({_P1}, 6) AS precision, round({_R1}, 6) AS recall, round({_F1}, 6) AS f1, round(roc_auc, 6) AS roc_auc FROM counts, auc""",

@@ -14,6 +14,7 @@ from textprep.functions.labels import coerce_label
 from textprep.functions.scores import softmax_prob
 from textprep.operators import audit, compare, dedup, features, metrics, model, report, sequences, split
 from textprep.operators.prepare import prepare_rows, row_funnel
+from textprep.plans.jobs import split_kept
 from textprep.session import spread, stage, staging_path
 from textprep.sources.corpus import read_corpus, read_split, write_splits
 
@@ -61,12 +62,6 @@ def _cleaned(rows: DataFrame) -> DataFrame:
     return stage(prepare_rows(rows, CFG), "cleaned")
 
 
-def _kept(rows: DataFrame) -> DataFrame:
-    """Prepared rows after deduplication."""
-    cleaned = _cleaned(rows)
-    return stage(dedup.deduplicate(cleaned, dedup.text_groups(cleaned), CFG), "kept")
-
-
 def _presplit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents split by a hash before deduplication: copies do leak."""
     b = F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 4), 16, 10).cast("int") % 100
@@ -134,7 +129,9 @@ def label_share_clean(spark, sf_dir):
 
 
 def dedup_keep_first(spark, sf_dir):
-    return _kept(_conflicting(spark, sf_dir)).select("row_id", "label", "clean_text")
+    cleaned = _cleaned(_conflicting(spark, sf_dir))
+    kept = dedup.deduplicate(cleaned, dedup.text_groups(cleaned), CFG)
+    return kept.select("row_id", "label", "clean_text")
 
 
 def dedup_stats(spark, sf_dir):
@@ -162,19 +159,28 @@ def funnel(spark, sf_dir):
     return row_funnel(raw, CFG, cleaned, after)
 
 
+def _kept_keys(rows: DataFrame) -> DataFrame:
+    """Row ids and labels of the prepared rows after deduplication."""
+    cleaned = _cleaned(rows)
+    return stage(dedup.kept_rows(cleaned, dedup.text_groups(cleaned), CFG), "kept-rows")
+
+
 def stratified_split(spark, sf_dir):
-    kept = _kept(_labelled(spark, sf_dir))
-    return split.stratified_split(kept, CFG).select("row_id", "label", "split")
+    return split.stratified_split(_kept_keys(_labelled(spark, sf_dir)), CFG)
 
 
 def split_sizes(spark, sf_dir):
-    kept = _kept(_conflicting(spark, sf_dir))
-    return split.stratified_split(kept, CFG).groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
+    done = split.stratified_split(_kept_keys(_conflicting(spark, sf_dir)), CFG)
+    return done.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _split_lazily(spark, sf_dir) -> DataFrame:
+    cleaned = _cleaned(_labelled(spark, sf_dir))
+    return split_kept(cleaned, dedup.text_groups(cleaned), CFG)
 
 
 def _split_corpus(spark, sf_dir) -> DataFrame:
-    kept = _kept(_labelled(spark, sf_dir))
-    return stage(split.stratified_split(kept, CFG), "splits")
+    return stage(_split_lazily(spark, sf_dir), "splits")
 
 
 def prep_report(spark, sf_dir):
@@ -214,9 +220,8 @@ def length_histogram(spark, sf_dir):
 
 def write_read_splits(spark, sf_dir):
     """Splits written as partitioned Parquet, and one of them read back."""
-    kept = _kept(_labelled(spark, sf_dir))
     folder = staging_path(spark, "written-splits")
-    write_splits(split.stratified_split(kept, CFG), folder)
+    write_splits(_split_lazily(spark, sf_dir), folder)
     return read_split(spark, folder, "test").select("row_id", "label", F.length("clean_text").alias("n_chars"))
 
 
@@ -314,6 +319,21 @@ def best_f1_threshold(spark, sf_dir):
     return _rounded(metrics.best_f1_threshold(_scores_large(spark, sf_dir)), "threshold", "best_f1")
 
 
+def val_threshold_on_test(spark, sf_dir):
+    """The threshold found on validation rows, and what it gives on test rows."""
+    parts = _presplit(spark, sf_dir).select("row_id", "split")
+    row = metrics.evaluate_splits(_scores_small(spark, sf_dir).join(parts, "row_id"))
+    return _rounded(
+        row.select(
+            F.col("threshold_used").alias("threshold"),
+            F.col("val_threshold_search.best_f1_at_threshold").alias("best_val_f1"),
+            F.col("test_metrics.f1").alias("test_f1"),
+            F.col("test_metrics.accuracy").alias("test_accuracy"),
+        ),
+        "threshold", "best_val_f1", "test_f1", "test_accuracy",
+    )
+
+
 def softmax(spark, sf_dir):
     logits = _logits(spark, sf_dir)
     return logits.select("row_id", F.round(softmax_prob(F.col("logits")), 6).alias("prob"))
@@ -326,8 +346,7 @@ def checkpoint_metrics(spark, sf_dir):
 
 def _board(spark, sf_dir) -> DataFrame:
     """One result per source of the scored documents."""
-    scored = stage(_scores_small(spark, sf_dir), "scores")
-    results = metrics.evaluate(scored, 0.5, "source").select(
+    results = metrics.evaluate(_scores_small(spark, sf_dir), 0.5, "source").select(
         F.col("source").alias("model_name"),
         F.lit("by_source").alias("model_kind"),
         F.lit("test").alias("split"),
@@ -480,6 +499,7 @@ REGISTRY: dict[str, Query] = {
     "classification_report": classification_report,
     "roc_auc": roc_auc,
     "best_f1_threshold": best_f1_threshold,
+    "val_threshold_on_test": val_threshold_on_test,
     "softmax_prob": softmax,
     "checkpoint_metrics": checkpoint_metrics,
     "rank_models": rank_models,
