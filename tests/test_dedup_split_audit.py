@@ -75,7 +75,7 @@ def test_lookup_finds_the_same_with_hot_keys(spark, hot_rows):
 def test_row_funnel(spark):
     raw = spark.createDataFrame([(1, "1"), (2, "5"), (3, "x"), (4, None)], "row_id long, label string")
     part = raw.limit(1)
-    got = row_funnel(raw, PrepConfig(), part, part).first().asDict()
+    got = row_funnel(raw, part, part).first().asDict()
     assert got == {
         "rows_before": 4, "rows_with_label": 2, "rows_with_binary_label": 1,
         "rows_long_enough": 1, "rows_after": 1, "rows_dropped": 3,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from textprep.config import SPLITS
 from textprep.functions.labels import coerce_label
 from textprep.operators.keys import text_key
+from textprep.operators.rows import side_by_side
 from textprep.operators.skew import lookup
 
 PAIRS = (("train", "val"), ("train", "test"), ("val", "test"))
@@ -130,4 +131,4 @@ def leakage_audit(
         return audit
     conflicts = overlap_label_conflicts(df, text, label)
     packed = conflicts.select(F.struct(*conflicts.columns).alias("overlap_label_conflicts"))
-    return audit.withColumn("_one", F.lit(1)).join(packed.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return side_by_side(audit, packed)

@@ -126,19 +126,19 @@ def score_table(df: DataFrame, *by: str) -> DataFrame:
     return stage(counts, "scores")
 
 
-def _counts_at(scores: DataFrame, threshold: float, *by: str) -> DataFrame:
-    """``confusion_counts`` from a score table."""
+def _cells(threshold: float) -> list[Column]:
+    """Aggregates tn, fp, fn and tp over a score table."""
     hit = apply_threshold(F.col("prob"), threshold) == 1
 
     def cell(side: Column, rows: str) -> Column:
         return F.coalesce(F.sum(F.when(side, F.col(rows))), F.lit(0))
 
-    return scores.groupBy(*by).agg(
+    return [
         cell(~hit, "neg").alias("tn"),
         cell(hit, "neg").alias("fp"),
         cell(~hit, "pos").alias("fn"),
         cell(hit, "pos").alias("tp"),
-    )
+    ]
 
 
 def _negatives_below(scores: DataFrame, by: tuple[str, ...], window_rows: int) -> DataFrame:
@@ -170,22 +170,19 @@ def _negatives_below(scores: DataFrame, by: tuple[str, ...], window_rows: int) -
     return inside.join(offsets, [*by, "_range"]).withColumn("below", F.col("_inside") + F.col("_offset"))
 
 
-def _auc(scores: DataFrame, by: tuple[str, ...], window_rows: int) -> DataFrame:
+def _auc() -> Column:
+    """The aggregate over a score table with ``below``; null for one class."""
     # Twice the positive/negative pairs in the right order, ties counting one;
     # decimals, since the product outgrows a BIGINT.
     won = F.col("pos").cast("decimal(19,0)") * (2 * F.col("below") + F.col("neg")).cast("decimal(19,0)")
-    sums = _negatives_below(scores, by, window_rows).groupBy(*by).agg(
-        F.sum(won).cast("double").alias("_won"),
-        F.sum("pos").cast("double").alias("_pos"),
-        F.sum("neg").cast("double").alias("_neg"),
-    )
-    pairs = 2 * F.col("_pos") * F.col("_neg")
-    return sums.select(*by, F.when(pairs > 0, F.col("_won") / pairs).alias("roc_auc"))
+    pairs = 2 * F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return F.when(pairs > 0, F.sum(won).cast("double") / pairs)
 
 
 def roc_auc(df: DataFrame, *by: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Exact area under the ROC curve, ties counting one half; null for one class."""
-    return _auc(score_table(df, *by), by, window_rows)
+    ranked = _negatives_below(score_table(df, *by), by, window_rows)
+    return ranked.groupBy(*by).agg(_auc().alias("roc_auc"))
 
 
 def best_f1_threshold(df: DataFrame) -> DataFrame:
@@ -222,14 +219,10 @@ def evaluate(df: DataFrame, threshold: float = DEFAULT_THRESHOLD, *by: str) -> D
 
     Also gives ``num_samples``. The predictions are read once.
     """
-    scores = score_table(df, *by)
-    counts = _counts_at(scores, threshold, *by)
-    auc = _auc(scores, by, WINDOW_ROWS)
-    keys = list(by) or ["_one"]
-    if not by:
-        counts, auc = (d.withColumn("_one", F.lit(1)) for d in (counts, auc))
+    ranked = _negatives_below(score_table(df, *by), by, WINDOW_ROWS)
+    counts = ranked.groupBy(*by).agg(*_cells(threshold), _auc().alias("roc_auc"))
     one = _scores(1)
-    return counts.join(auc, keys).select(
+    return counts.select(
         *by,
         (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("num_samples"),
         F.struct(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textprep.config import PrepConfig
 from textprep.functions.clean import as_text, with_clean_text
 from textprep.functions.labels import coerce_label, is_binary
+from textprep.operators.rows import side_by_side
 
 REQUIRED_COLUMNS = ("text", "label")
 
@@ -41,7 +42,7 @@ def prepare_rows(df: DataFrame, cfg: PrepConfig = PrepConfig()) -> DataFrame:
     return cleaned.filter(F.length("clean_text") >= cfg.min_text_length)
 
 
-def row_funnel(raw: DataFrame, cfg: PrepConfig, min_length_ok: DataFrame, after: DataFrame) -> DataFrame:
+def row_funnel(raw: DataFrame, min_length_ok: DataFrame, after: DataFrame) -> DataFrame:
     """Rows before, at each filter, after, and dropped overall, in one row.
 
     ``raw`` is the input, ``min_length_ok`` the outcome of ``prepare_rows`` and
@@ -55,8 +56,6 @@ def row_funnel(raw: DataFrame, cfg: PrepConfig, min_length_ok: DataFrame, after:
     )
     middle = min_length_ok.agg(F.count(F.lit(1)).alias("rows_long_enough"))
     end = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    one = lambda d: d.withColumn("_one", F.lit(1))  # noqa: E731  one row on each side
-    return (
-        one(start).join(one(middle), "_one").join(one(end), "_one").drop("_one")
-        .withColumn("rows_dropped", F.col("rows_before") - F.col("rows_after"))
+    return side_by_side(start, middle, end).withColumn(
+        "rows_dropped", F.col("rows_before") - F.col("rows_after")
     )

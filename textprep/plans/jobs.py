@@ -19,6 +19,7 @@ from textprep.functions.scores import softmax_prob
 from textprep.operators import audit, dedup, features, metrics, model, report, sequences, split
 from textprep.operators.compare import best_model, leaderboard
 from textprep.operators.prepare import prepare_rows, resolve_text_column
+from textprep.operators.rows import side_by_side
 from textprep.session import stage
 from textprep.sources import documents
 from textprep.sources.corpus import read_corpus, read_split, read_splits, resolve_split_dir, write_splits
@@ -80,21 +81,13 @@ def _audited(
     else:
         kept, after = splits, before
         dropped = audit.dropped_eval_rows(texts.limit(0))
-    both = _one_row(
+    both = side_by_side(
         before.select(F.struct(*before.columns).alias("before")),
         after.select(F.struct(*after.columns).alias("after")),
     )
     return kept, both.select(F.struct("before", "after").alias("leakage_audit")), dropped
 
 
-def _one_row(*parts: DataFrame) -> DataFrame:
-    """One-row tables side by side."""
-    out = parts[0].withColumn("_one", F.lit(1))
-    for part in parts[1:]:
-        out = out.join(part.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
-
-
 def _packed(row: DataFrame, name: str) -> DataFrame:
     return row.select(F.struct(*row.columns).alias(name))
 
@@ -154,7 +147,7 @@ def train_tfidf_logreg(
         ),
         _literals("train_shape", {"rows": train.count(), "features": vocab.count()}),
     )
-    summary = _one_row(
+    summary = side_by_side(
         head,
         _packed(dropped, "dropped_eval_rows"),
         audits,
@@ -194,7 +187,7 @@ def encode_sequences(
 
     weights = metrics.class_weights(train)  # one entry per class
     entries = F.array_sort(F.collect_list(F.struct(F.col("label").cast("string"), "weight")))
-    summary = _one_row(
+    summary = side_by_side(
         spark.range(1).select(
             F.lit(data_dir).alias("data_dir"),
             F.lit(text).alias("text_col"),

@@ -156,7 +156,7 @@ def funnel(spark, sf_dir):
     raw = _raw_labels(spark, sf_dir)
     cleaned = _cleaned(raw)
     after = dedup.deduplicate(cleaned, dedup.text_groups(cleaned), CFG)
-    return row_funnel(raw, CFG, cleaned, after)
+    return row_funnel(raw, cleaned, after)
 
 
 def _kept_keys(rows: DataFrame) -> DataFrame:
