@@ -98,10 +98,10 @@ def test_auc(spark, case, window_rows):
 
 @pytest.mark.parametrize("window_rows", [1_000_000, 20])
 def test_auc_per_group_and_mirrored(spark, window_rows):
-    rows = [(str(s), y, p) for s in range(3) for y, p in scores(s)]
+    rows = [(str(s) if s else None, y, p) for s in range(3) for y, p in scores(s)]
     df = spark.createDataFrame(rows, "g string, label int, prob double")
     got = {r["g"]: r["roc_auc"] for r in metrics.roc_auc(df, "g", window_rows=window_rows).collect()}
-    assert got == {str(s): pytest.approx(auc(scores(s)), abs=1e-12) for s in range(3)}
+    assert got == {str(s) if s else None: pytest.approx(auc(scores(s)), abs=1e-12) for s in range(3)}
     mirror = df.withColumn("prob", -F.col("prob"))
     back = {r["g"]: r["roc_auc"] for r in metrics.roc_auc(mirror, "g").collect()}
     assert all(back[g] == pytest.approx(1 - got[g], abs=1e-12) for g in got)

@@ -163,11 +163,15 @@ def _negatives_below(scores: DataFrame, by: tuple[str, ...], window_rows: int) -
     totals = ranges.groupBy(*by, "_range").agg(F.sum("neg").alias("_neg"))
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(*before)
     offsets = totals.select(
-        *by, "_range", F.coalesce(F.sum("_neg").over(earlier), F.lit(0)).alias("_offset")
+        *[F.col(c).alias(f"_of_{c}") for c in (*by, "_range")],
+        F.coalesce(F.sum("_neg").over(earlier), F.lit(0)).alias("_offset"),
     )
     order = Window.partitionBy(*by, "_range").orderBy("prob").rowsBetween(*before)
     inside = ranges.withColumn("_inside", F.coalesce(F.sum("neg").over(order), F.lit(0)))
-    return inside.join(offsets, [*by, "_range"]).withColumn("below", F.col("_inside") + F.col("_offset"))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (*by, "_range")]
+    return inside.join(offsets, same).select(
+        *scores.columns, (F.col("_inside") + F.col("_offset")).alias("below")
+    )
 
 
 def _auc() -> Column:

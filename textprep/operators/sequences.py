@@ -115,7 +115,9 @@ def encode(
     Every word has an id, so lists are cut before the lookup and no task
     handles more than ``max_len`` words of a row.
     """
-    cut = df.withColumn("_words", truncate(_words(text), cfg.max_len, cfg.truncate_strategy))
+    # Two steps: the cut refers to the words several times.
+    words = df.withColumn("_all", _words(text))
+    cut = words.withColumn("_words", truncate(F.col("_all"), cfg.max_len, cfg.truncate_strategy)).drop("_all")
     if vocab.count() <= local_vocabulary:
         found = cut.withColumn("ids", _id_lookup(vocab)(F.col("_words")))
     else:

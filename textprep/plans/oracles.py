@@ -175,12 +175,12 @@ placed AS (SELECT row_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos
 counted AS (SELECT term, count(*) AS tf, min(row_id) AS first_row FROM placed GROUP BY term),
 firsts AS (SELECT c.term, c.tf, c.first_row, min(p.pos) AS first_pos FROM counted c JOIN placed p ON p.term = c.term AND p.row_id = c.first_row
   GROUP BY c.term, c.tf, c.first_row),
-words AS (SELECT term, (row_number() OVER (ORDER BY tf DESC, first_row, first_pos) + 1)::INT AS id, tf FROM firsts),
-vocab AS (SELECT * FROM words WHERE id < 2000)"""
+words AS (SELECT term, (row_number() OVER (ORDER BY tf DESC, first_row, first_pos) + 1)::INT AS id, tf FROM firsts)"""
 
 
 def _encoded(cut: str) -> str:
     return f"""WITH {_LABELLED}, {_CLEANED}, {_WORDS},
+vocab AS (SELECT * FROM words WHERE id < 2000),
 cut AS (SELECT row_id, {cut} AS w FROM lists),
 cells AS (SELECT row_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos FROM cut),
 ids AS (SELECT row_id, list(coalesce(id, 1) ORDER BY pos) AS ids FROM cells LEFT JOIN vocab USING (term) GROUP BY row_id),
@@ -272,7 +272,7 @@ SELECT term, count(*) AS tf, count(DISTINCT row_id) AS df FROM words GROUP BY te
     "tfidf_vocab": f"WITH {_FEATURES} SELECT term, id, tf, df, round(idf, 6) AS idf FROM vocab",
     "tfidf_weights": f"WITH {_FEATURES}, {_WEIGHTS} SELECT row_id, id, round(w / norm, 6) AS value FROM raw_weights JOIN norms USING (row_id)",
     "tfidf_vectors": f"WITH {_FEATURES}, {_WEIGHTS} SELECT row_id, id, round(w / norm, 6) AS value FROM raw_weights JOIN norms USING (row_id)",
-    "word_vocab": f"WITH {_LABELLED}, {_CLEANED}, {_WORDS} SELECT term, id, tf FROM vocab",
+    "word_vocab": f"WITH {_LABELLED}, {_CLEANED}, {_WORDS} SELECT term, id, tf FROM words WHERE id < 12000",
     "encode_sequences_head_tail": _encoded(
         "CASE WHEN len(w) <= 500 THEN w ELSE list_concat(w[1:250], w[len(w) - 249:len(w)]) END"
     ),

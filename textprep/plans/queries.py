@@ -411,13 +411,8 @@ def tfidf_vectors(spark, sf_dir):
     return _rounded(pairs, "value")
 
 
-def _words(spark, sf_dir) -> tuple[DataFrame, SequenceConfig]:
-    return _cleaned(_labelled(spark, sf_dir)), SequenceConfig(vocab_size=2000)
-
-
 def word_vocab(spark, sf_dir):
-    rows, cfg = _words(spark, sf_dir)
-    return sequences.sequence_vocab(rows, cfg)
+    return sequences.sequence_vocab(_cleaned(_labelled(spark, sf_dir)), SequenceConfig())
 
 
 def _joined(ids: Column) -> Column:
@@ -425,8 +420,9 @@ def _joined(ids: Column) -> Column:
 
 
 def _encoded(spark, sf_dir, strategy: str) -> DataFrame:
-    rows, cfg = _words(spark, sf_dir)
-    cfg = SequenceConfig(cfg.vocab_size, 500, strategy)
+    rows = _cleaned(_labelled(spark, sf_dir))
+    # A vocabulary small enough that many words are outside it.
+    cfg = SequenceConfig(2000, 500, strategy)
     vocab = stage(sequences.sequence_vocab(rows, cfg), "words")
     encoded = sequences.encode(rows.select("row_id", "clean_text"), vocab, cfg)
     return encoded.select("row_id", _joined(F.col("ids")).alias("ids"), _joined(F.col("mask")).alias("mask"))

@@ -43,13 +43,18 @@ def staging_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
-    return _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="textprep-"))
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="textprep-")
+    return _LOCAL_ROOTS[app]
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/textprep/{spark.sparkContext.applicationId}"
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new path in the staging folder."""
-    app = spark.sparkContext.applicationId
-    return f"{staging_root(spark)}/textprep/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -64,6 +69,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Remove this application's staged tables; nothing that reads them works after."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give CPU-heavy row work at least one partition per core.
 
