@@ -222,6 +222,7 @@ SELECT (SELECT count(*) FROM raw) AS rows_before, (SELECT count(label) FROM coer
     "length_histogram": f"""WITH {_PRESPLIT} SELECT split, label, (length(text) // 500 * 500)::BIGINT AS length_from, count(*) AS n
   FROM rows GROUP BY ALL""",
     "write_read_splits": f"WITH {_DONE} SELECT row_id, label, length(clean_text)::INT AS n_chars FROM done WHERE split = 'test'",
+    "prepare_job": f"WITH {_DONE} SELECT row_id, label, split FROM done",
     "read_corpus_csv": f"WITH {_LABELLED}, {_CLEANED} SELECT row_id, label, clean_text FROM cleaned",
     "split_overlap": f"WITH {_PRESPLIT}, {_TEXTS} {_overlap()}",
     "split_stats": f"""WITH {_PRESPLIT} SELECT split, count(*) AS rows, count(DISTINCT k) AS unique_texts,
@@ -258,6 +259,7 @@ SELECT round(thr, 6) AS threshold, round(best.f1, 6) AS best_val_f1, round({_F1}
     "checkpoint_metrics": f"""WITH {_LOGITS}, {_counts('soft')}, {_auc('soft')} SELECT round({_ACC}, 6) AS accuracy,
   round({_P1}, 6) AS precision, round({_R1}, 6) AS recall, round({_F1}, 6) AS f1, round(roc_auc, 6) AS roc_auc FROM counts, auc""",
     "rank_models": f"WITH {_BOARD} SELECT model_name, split, num_samples, accuracy, precision, recall, f1, roc_auc FROM board",
+    "result_documents": f"WITH {_BOARD} SELECT model_name, split, num_samples, accuracy, precision, recall, f1, roc_auc FROM board",
     "best_model": f"""WITH {_BOARD} SELECT model_name, num_samples, f1, roc_auc FROM board
   ORDER BY f1_full DESC NULLS LAST, auc_full DESC NULLS LAST, model_name LIMIT 1""",
     "metrics_long": f"WITH {_BOARD} "

@@ -14,9 +14,10 @@ from textprep.functions.labels import coerce_label
 from textprep.functions.scores import softmax_prob
 from textprep.operators import audit, compare, dedup, features, metrics, model, report, sequences, split
 from textprep.operators.prepare import prepare_rows, row_funnel
-from textprep.plans.jobs import split_kept
+from textprep.plans.jobs import prepare, split_kept
 from textprep.session import spread, stage, staging_path
-from textprep.sources.corpus import read_corpus, read_split, write_splits
+from textprep.sources.corpus import read_corpus, read_split, read_splits, write_splits
+from textprep.sources.documents import read_results
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -225,6 +226,15 @@ def write_read_splits(spark, sf_dir):
     return read_split(spark, folder, "test").select("row_id", "label", F.length("clean_text").alias("n_chars"))
 
 
+def prepare_job(spark, sf_dir):
+    """The whole preparation job, from a Parquet corpus to written splits."""
+    folder = staging_path(spark, "prepare-job")
+    source = f"{folder}/corpus.parquet"
+    _labelled(spark, sf_dir).select(F.col("row_id").alias("id"), "text", "label").write.parquet(source)
+    prepare(spark, source, f"{folder}/out", CFG, row_id="id")
+    return read_splits(spark, f"{folder}/out").select("row_id", "label", "split")
+
+
 def read_corpus_csv(spark, sf_dir):
     """The labelled corpus written as CSV, read as a raw corpus and prepared."""
     folder = staging_path(spark, "corpus") + ".csv"
@@ -344,9 +354,9 @@ def checkpoint_metrics(spark, sf_dir):
     return _rounded(rows, *rows.columns)
 
 
-def _board(spark, sf_dir) -> DataFrame:
+def _results(spark, sf_dir) -> DataFrame:
     """One result per source of the scored documents."""
-    results = metrics.evaluate(_scores_small(spark, sf_dir), 0.5, "source").select(
+    return metrics.evaluate(_scores_small(spark, sf_dir), 0.5, "source").select(
         F.col("source").alias("model_name"),
         F.lit("by_source").alias("model_kind"),
         F.lit("test").alias("split"),
@@ -355,12 +365,30 @@ def _board(spark, sf_dir) -> DataFrame:
         "metrics",
         F.col("source").alias("source_file"),
     )
-    return compare.leaderboard(results)
+
+
+def _board(spark, sf_dir) -> DataFrame:
+    return compare.leaderboard(_results(spark, sf_dir))
+
+
+def _ranked(board: DataFrame) -> DataFrame:
+    ranked = compare.rank_models(board)
+    return _rounded(ranked, *compare.METRICS).select("model_name", "split", "num_samples", *compare.METRICS)
 
 
 def rank_models(spark, sf_dir):
-    board = compare.rank_models(_board(spark, sf_dir))
-    return _rounded(board, *compare.METRICS).select("model_name", "split", "num_samples", *compare.METRICS)
+    return _ranked(_board(spark, sf_dir))
+
+
+def result_documents(spark, sf_dir):
+    """The same ranking over result documents written as JSON and read back."""
+    folder = staging_path(spark, "results")
+    results = _results(spark, sf_dir).drop("source_file")
+    document = F.to_json(F.struct(*results.columns), {"ignoreNullFields": "false"})
+    # One folder, and so one file, per result.
+    named = results.select(F.md5(F.col("model_name").cast("binary")).alias("of"), document.alias("value"))
+    named.write.partitionBy("of").text(folder)
+    return _ranked(compare.leaderboard(read_results(spark, [folder])))
 
 
 def best_model(spark, sf_dir):
@@ -483,6 +511,7 @@ REGISTRY: dict[str, Query] = {
     "length_histogram": length_histogram,
     "write_read_splits": write_read_splits,
     "read_corpus_csv": read_corpus_csv,
+    "prepare_job": prepare_job,
     "split_overlap": split_overlap,
     "split_stats": split_stats,
     "overlap_label_conflicts": overlap_label_conflicts,
@@ -499,6 +528,7 @@ REGISTRY: dict[str, Query] = {
     "softmax_prob": softmax,
     "checkpoint_metrics": checkpoint_metrics,
     "rank_models": rank_models,
+    "result_documents": result_documents,
     "best_model": best_model,
     "metrics_long": metrics_long,
     "term_stats": term_stats,
