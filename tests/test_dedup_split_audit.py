@@ -124,6 +124,12 @@ def test_split_equals_full_sort(spark, monkeypatch, rank_rows):
     assert shuffled == want
 
 
+def test_split_of_nothing_and_of_one_label(spark):
+    for n in (0, 1):
+        with pytest.raises(ValueError):
+            split.stratified_split(labelled(spark, n))
+
+
 def test_split_depends_on_the_seed(spark):
     df = labelled(spark, 200)
     a, b = (

@@ -49,6 +49,9 @@ SWEEP_START = 0.1
 SWEEP_STEP = 0.01
 SWEEP_COUNT = 81
 
+# The setting names appear in reports and summaries, and the
+# defaults decide published results.
+
 
 @dataclass(frozen=True)
 class PrepConfig:

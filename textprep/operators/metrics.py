@@ -199,7 +199,7 @@ def best_f1_threshold(df: DataFrame) -> DataFrame:
     hist = df.groupBy(thresholds_passed(F.col("prob")).alias("passed")).agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
-    empty = spark.range(SWEEP_COUNT + 1).select(
+    empty = spark.range(0, SWEEP_COUNT + 1, 1, 1).select(
         F.col("id").cast("int").alias("passed"),
         F.lit(0).cast("bigint").alias("pos"),
         F.lit(0).cast("bigint").alias("neg"),

@@ -103,6 +103,8 @@ def _find_cuts(rows: DataFrame, cfg: PrepConfig) -> dict[tuple[int, str], tuple[
     counts: dict[int, int] = {}
     for (label, _), n in sorted(buckets.items()):
         counts[label] = counts.get(label, 0) + n
+    if not counts:
+        raise ValueError("there are no rows to split")
     if len(counts) > MAX_LABELS:
         raise ValueError(f"more than {MAX_LABELS} labels to stratify by")
     labels = list(counts)

@@ -295,6 +295,9 @@ def score_sequences_and_evaluate(
     encoded = sequences.encode(rows, documents.load_word_vocab(spark, model_dir), cfg, "text")
     scored = model.score_batches(encoded.drop("text"), load_fn, predict_fn, ["label"], batch_size)
     fallback = "RNN" if kind == "rnn_family" else "HFTransformer"
+    used: dict[str, Any] = {"max_len_used": cfg.max_len}
+    if kind == "rnn_family":
+        used["truncate_strategy"] = cfg.truncate_strategy
     return _write_result(
         scored.withColumn("prob", softmax_prob(F.col("logits"))),
         model.resolve_threshold(threshold, saved, kind),
@@ -308,7 +311,7 @@ def score_sequences_and_evaluate(
             "text_col": text,
             "label_col": label_col,
         },
-        {"max_len_used": cfg.max_len, "truncate_strategy": cfg.truncate_strategy},
+        used,
     )
 
 
