@@ -17,17 +17,20 @@ def word_tokens(text: Column) -> Column:
 
 def word_ngrams(tokens: Column, low: int, high: int) -> Column:
     """All n-grams with low <= n <= high, joined by one space."""
-
-    def grams(n: int) -> Column:
-        if n == 1:
-            return tokens
-        # Text position i starts an n-gram while i <= size - n + 1.
-        starts = F.when(
-            F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-
-    return F.concat(*[grams(n) for n in range(low, high + 1)])
+    grams, wanted = tokens, []
+    for n in range(1, high + 1):
+        if n > 1:
+            # Each gram takes the token after it: two lists are paired instead
+            # of cutting a slice per position.
+            count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+            grams = F.zip_with(
+                F.slice(grams, 1, count),
+                F.slice(tokens, n, count),
+                lambda gram, token: F.concat(gram, F.lit(" "), token),
+            )
+        if n >= low:
+            wanted.append(grams)
+    return F.concat(*wanted)
 
 
 def sequence_tokens(text: Column) -> Column:
