@@ -17,19 +17,23 @@ from textprep.llm.columns import SPACE_CHARACTERS, WORD, whole, without
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-# Rule: (measure, votes good up to, votes bad from); it abstains in between.
+# Rule: (measure, votes good up to, votes bad from); it abstains in between. A
+# rule that looks for one defect has no grounds to vote good when it finds none.
 RULES = {
-    "symbols": ("n_symbols / n_words", 0.02, 0.1),
-    "repeats": ("n_repeat_words / n_words", 0.2, 0.5),
-    "dup_lines": ("n_dup_lines / n_lines", 0.1, 0.3),
-    "capitals": ("n_capitals / word_chars", 0.15, 0.4),
-    "word_length": ("abs(word_chars / n_words - 6)", 3.0, 4.5),
+    "prose": ("(n_symbols + n_capitals) / word_chars", 0.08, 0.15),
+    "symbols": ("n_symbols / n_words", None, 0.1),
+    "capitals": ("n_capitals / word_chars", None, 0.4),
+    "repeats": ("n_repeat_words / n_words", None, 0.5),
+    "dup_lines": ("n_dup_lines / n_lines", None, 0.5),
+    "word_length": ("abs(word_chars / n_words - 6)", None, 4.5),
 }
-# Where the fit starts, and pseudo-counts that keep it there without evidence.
+# Where the fit starts, and how strongly it holds to that: pseudo-counts as a share
+# of all documents. Defects that exclude each other leave the classes undetermined
+# without them; a share behaves alike at every size.
 PRIOR_GOOD = 0.85
-# P(vote | class): (bad, good) votes among documents that are good, and bad.
-START = {"good": (0.01, 0.90), "bad": (0.30, 0.60)}
-PSEUDO = 20.0
+# Chances of a bad and of a good vote (if the rule has one) on each class.
+START = {"good": (0.01, 0.90), "bad": (0.30, 0.30)}
+PSEUDO = 1.0
 ROUNDS = 20
 
 
@@ -96,9 +100,10 @@ def votes(rules: dict = RULES) -> list[Column]:
     found = []
     for name, (measure, good, bad) in rules.items():
         value = F.expr(measure.replace("n_words", "nullif(n_words, 0)").replace("n_lines", "nullif(n_lines, 0)").replace("word_chars", "nullif(word_chars, 0)"))
-        found.append(
-            F.when(value <= good, 1).when(value >= bad, -1).otherwise(0).alias(f"vote_{name}")
-        )
+        vote = F.when(value >= bad, -1)
+        if good is not None:
+            vote = vote.when(value <= good, 1)
+        found.append(vote.otherwise(0).alias(f"vote_{name}"))
     return found
 
 
@@ -106,10 +111,12 @@ def fit_rules(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, rounds:
     """EM over counted vote patterns: (prior log-odds, log-odds per rule of a bad and a good vote).
 
     Each class has its own chance of a bad and of a good vote for every rule, the
-    rest abstains. The pseudo-counts make the estimate well defined for any
-    input, empty ones too.
+    rest abstains. A vote never counts against its own meaning: abstaining and
+    voting are compared only in the direction the rule states. The pseudo-counts
+    make the estimate well defined for any input, empty ones too.
     """
     total = sum(n for _, n in patterns)
+    pseudo = max(1.0, PSEUDO * total)
     good_share = PRIOR_GOOD
     chance = {c: [{-1: START[c][0], 1: START[c][1]} for _ in range(n_rules)] for c in ("good", "bad")}
 
@@ -117,7 +124,7 @@ def fit_rules(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, rounds:
         rows = []
         for j in range(n_rules):
             g, b = chance["good"][j], chance["bad"][j]
-            rows.append({-1: math.log(g[-1] / b[-1]), 1: math.log(g[1] / b[1])})
+            rows.append({-1: min(0.0, math.log(g[-1] / b[-1])), 1: max(0.0, math.log(g[1] / b[1]))})
         return math.log(good_share / (1 - good_share)), rows
 
     for _ in range(rounds):
@@ -131,12 +138,12 @@ def fit_rules(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, rounds:
             for j, v in enumerate(pattern):
                 mass["good"][j][v] += n * p
                 mass["bad"][j][v] += n * (1 - p)
-        good_share = (good_total + PSEUDO * PRIOR_GOOD) / (total + PSEUDO)
+        good_share = (good_total + pseudo * PRIOR_GOOD) / (total + pseudo)
         for c in ("good", "bad"):
             for j in range(n_rules):
-                seen = sum(mass[c][j].values()) + PSEUDO
+                seen = sum(mass[c][j].values()) + pseudo
                 for v, start in zip((-1, 1), START[c]):
-                    chance[c][j][v] = (mass[c][j][v] + PSEUDO * start) / seen
+                    chance[c][j][v] = (mass[c][j][v] + pseudo * start) / seen
     return weights()
 
 
