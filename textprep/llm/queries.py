@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textprep.llm import (
     exact_dedup,
+    jaccard_join,
     language_id,
     licenses,
     mixing,
@@ -45,6 +46,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ QUERIES = {
         op2_toxicity,
         op3_quality_rules,
         op4_quality_classifier,
+        op5_ngram_jaccard,
         op6_best_fit_packing,
         op7_mixing,
         op8_language_id,
