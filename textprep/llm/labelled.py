@@ -25,13 +25,13 @@ def labelled_sample(
     held: int,
     per_class: dict[int, int],
     max_chars: int,
-) -> list[tuple[str, int]]:
+) -> tuple[list[tuple[str, int]], dict[int, int]]:
     """(text, label) of at most ``per_class`` documents of each class.
 
     They come from the folds that are not held out and have the smallest hashes
     of their ids. Texts that are null or longer than ``max_chars`` characters
     are not trained on. Of contradicting labels of one document the larger
-    counts. Only the chosen ids, a bounded number, are broadcast to the scan.
+    counts. With the sample comes how many documents each class has in all. Only the chosen ids, a bounded number, are broadcast to the scan.
     """
     known = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -40,6 +40,7 @@ def labelled_sample(
         .agg(F.max("label").alias("label"))
     )
     spark = docs.sparkSession
+    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     chosen = []
     for value, most in per_class.items():
         mine = known.filter(F.col("label") == value)
@@ -47,7 +48,7 @@ def labelled_sample(
     ids = spark.createDataFrame(chosen or [(None, 0)], "doc_id bigint, label int")
     texts = docs.select("doc_id", "text").filter(F.length("text") <= max_chars)
     found = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text").collect()
-    return [(r["text"], r["label"]) for r in sorted(found, key=lambda r: (r["doc_id"], r["text"]))]
+    return [(r["text"], r["label"]) for r in sorted(found, key=lambda r: (r["doc_id"], r["text"]))], sizes
 
 
 def scored(

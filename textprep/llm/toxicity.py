@@ -67,7 +67,8 @@ def score_toxicity(
     rows score alike; extra columns are ignored; an empty table gives an empty
     result.
     """
-    first, second, weights = fit(labelled_sample(docs, labels, "toxic", folds, held, train, max_chars))
+    sample, _ = labelled_sample(docs, labels, "toxic", folds, held, train, max_chars)
+    first, second, weights = fit(sample)
 
     def start():
         toxic, ordinary = Coder(first, **CODER), Coder(second, **CODER)
