@@ -14,6 +14,7 @@ from textprep.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     toxicity,
 )
 from textprep.llm.columns import table
@@ -63,6 +64,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
     return found.withColumn("dice", F.round("dice", 6))
@@ -79,6 +84,7 @@ QUERIES = {
         op6_best_fit_packing,
         op7_mixing,
         op8_language_id,
+        op9_suffix_dedup,
         op10_license_scan,
     )
 }
