@@ -85,6 +85,51 @@ def _with_source(rows: DataFrame, per_source: DataFrame, few: bool) -> DataFrame
     return left.join(right, same, "left").select(*rows.columns, *columns)
 
 
+def _sizes(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    return stage(
+        docs.select(
+            F.col(doc_id).alias("doc_id"),
+            F.col(source).cast("string").alias("source"),
+            n_words(F.col(text)).alias("size"),
+        ),
+        "mix-sizes",
+    )
+
+
+def _rate() -> Column:
+    return F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
+
+
+def source_plan(sizes: DataFrame, weights: tuple, share: float, most: float, seeds: int, broadcast_sources: int) -> tuple[DataFrame, bool]:
+    """source, source_size, target and seed per source, and whether these rows are few."""
+    targets = stage(source_targets(sizes, weights, share, most), "mix-targets")
+    few = targets.count() <= broadcast_sources
+    rated = _with_source(sizes, targets, few).withColumn("rate", _rate())
+    fraction = F.col("rate") - F.floor("rate")
+    totals = rated.groupBy("source").agg(
+        F.first("source_size").alias("source_size"),
+        F.first("target").alias("target"),
+        F.sum(F.floor("rate") * F.col("size")).alias("whole"),
+        *[
+            F.sum(F.when(d < fraction, F.col("size")).otherwise(F.lit(0))).alias(f"s{k}")
+            for k, d in enumerate(_draws(F.col("doc_id"), seeds))
+        ],
+    )
+    misses = [
+        F.struct(F.abs(F.col("whole") + F.col(f"s{k}") - F.col("target")).alias("miss"), F.lit(k).alias("seed"))
+        for k in range(seeds)
+    ]
+    best = F.array_min(F.array(*misses))["seed"].alias("seed")
+    return stage(totals.select("source", "source_size", "target", best), "mix-plan"), few
+
+
+def _copies(seeds: int) -> Column:
+    """How often a row is taken, from its doc_id and the plan of its source."""
+    draw = F.element_at(F.array(*_draws(F.col("doc_id"), seeds)), F.col("seed") + 1)
+    more = F.when(draw < _rate() - F.floor(_rate()), 1).otherwise(0)
+    return (F.floor(_rate()) + more).cast("int")
+
+
 def mix(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -109,33 +154,27 @@ def mix(
     Other columns are ignored; an empty table gives an empty result. Results
     depend on ids, sizes and sources alone, so reruns agree.
     """
-    sizes = stage(
-        docs.select(
-            F.col(doc_id).alias("doc_id"),
-            F.col(source).cast("string").alias("source"),
-            n_words(F.col(text)).alias("size"),
-        ),
-        "mix-sizes",
-    )
-    targets = stage(source_targets(sizes, weights, share, most), "mix-targets")
-    few = targets.count() <= broadcast_sources
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
-    fraction = rate - F.floor(rate)
-    rated = _with_source(sizes, targets, few).withColumn("rate", rate).withColumn("fraction", fraction)
-    draws = _draws(F.col("doc_id"), seeds)
-    totals = rated.groupBy("source").agg(
-        F.first("target").alias("target"),
-        F.sum(F.floor("rate") * F.col("size")).alias("whole"),
-        *[
-            F.sum(F.when(d < F.col("fraction"), F.col("size")).otherwise(F.lit(0))).alias(f"s{k}")
-            for k, d in enumerate(draws)
-        ],
-    )
-    misses = F.array(*[F.struct(F.abs(F.col("whole") + F.col(f"s{k}") - F.col("target")).alias("miss"), F.lit(k).alias("seed")) for k in range(seeds)])
-    chosen = stage(totals.select("source", F.array_min(misses)["seed"].alias("seed")), "mix-seeds")
-    seeded = _with_source(rated, chosen, few)
-    draw = F.element_at(F.array(*draws), F.col("seed") + 1)
-    copies = F.floor("rate") + F.when(draw < F.col("fraction"), 1).otherwise(0)
-    return seeded.withColumn("copies", copies.cast("int")).select(
+    sizes = _sizes(docs, doc_id, text, source)
+    plan, few = source_plan(sizes, weights, share, most, seeds, broadcast_sources)
+    taken = _with_source(sizes, plan, few).withColumn("copies", _copies(seeds))
+    return taken.select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), "copies"
     )
+
+
+def mixed_documents(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: tuple = WEIGHTS,
+    share: float = SHARE,
+    most: float = MOST,
+    seeds: int = SEEDS,
+    broadcast_sources: int = BROADCAST_SOURCES,
+) -> DataFrame:
+    """The mix itself: every row of ``docs``, all columns, as often as ``mix`` takes it."""
+    plan, few = source_plan(_sizes(docs, doc_id, text, source), weights, share, most, seeds, broadcast_sources)
+    rows = docs.select(F.struct("*").alias("_row"), F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"))
+    counted = _with_source(rows, plan, few).select("_row", F.array_repeat(F.lit(1), _copies(seeds)).alias("_times"))
+    return counted.select("_row", F.explode("_times")).select("_row.*")

@@ -168,3 +168,13 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: di
         odds = odds + F.when(F.col(name) == 1, row[1]).when(F.col(name) == -1, row[-1]).otherwise(0.0)
     quality = 1.0 / (1.0 + F.exp(-odds))
     return voted.withColumn("quality", quality).withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5))
+
+
+def keep_good(docs: DataFrame, text: str = "text", rules: dict = RULES) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``judge`` keeps; nothing is shuffled."""
+    whole_rows = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
+    judged = judge(whole_rows, "_row", "_text", rules)
+    # A filter would be pushed below the counts and repeat their expressions in
+    # itself; an exploded array of one or no row is not.
+    stays = F.when(F.col("kept"), F.array("doc_id"))
+    return judged.select(F.explode(stays).alias("_row")).select("_row.*")

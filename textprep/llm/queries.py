@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from textprep.llm import (
     exact_dedup,
     jaccard_join,
@@ -74,7 +75,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f
+    "pipeline": corpus_pipeline.run,
+    **{f.__name__: f
     for f in (
         op1_exact_dedup,
         op2_toxicity,
@@ -86,7 +88,7 @@ QUERIES = {
         op8_language_id,
         op9_suffix_dedup,
         op10_license_scan,
-    )
+    )},
 }
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 # because powers of an odd base have inverses modulo 2^64.
 _BASE = 0x9E3779B97F4A7C15
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)

@@ -32,7 +32,6 @@ ANCHOR = 50
 SEGMENT = 1 << 20
 CROWD = 1_000
 CHUNK_ROWS = 4_000
-BROADCAST_ANCHORS = 4_000_000
 BROADCAST_SPANS = 2_000_000
 
 CONTEXT = "kind tinyint, cell bigint, low int, high int, doc_id bigint, mark bigint, at bigint, stop bigint, before int, context binary"
@@ -102,23 +101,43 @@ def _context_rows(length: int, size: int):
     reach = length - size
     split = levels(reach)
 
+    def _whole(at: int, n: int) -> tuple[int, int]:
+        """What all strings anchored at a place cover in a text of n bytes."""
+        return max(0, at - reach), min(n, at + length)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [[] for _ in range(10)]
-            # Rows of crowded cells with equal content, by content: the first stays.
-            held: dict[tuple, int] = {}
+            held: dict[tuple, tuple] = {}
+            firsts, paid = set(), set()
 
             def put(*row) -> None:
                 for column, value in zip(columns, row):
                     column.append(value)
 
+            def settle(doc, mark, start: int, stop: int) -> None:
+                # Any cell will do, so settled rows are spread.
+                put(1, hash((doc, mark, start)), 0, 0, doc, mark, start, stop, 0, b"")
+
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
             for doc, mark, text, spots in zip(
                 batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist(), texts, batch.column("spots").to_pylist()
             ):
-                n = len(text)
+                n, done = len(text), []
                 for spot in spots:
                     at = spot["at"]
+                    if spot["crowded"]:
+                        # Equal whole contexts of this batch: the first goes on for all.
+                        around = text[max(0, at - reach) : at + length]
+                        other = held.setdefault((min(at, reach), around), (doc, mark, at, n))
+                        if other != (doc, mark, at, n) or (doc, mark, at, n) in firsts:
+                            done.append(_whole(at, n))
+                            if other not in paid:
+                                paid.add(other)
+                                start, stop = _whole(*other[2:])
+                                settle(other[0], other[1], start, stop)
+                            continue
+                        firsts.add(other)
                     for low, high in split if spot["crowded"] else ((0, reach),):
                         # Offsets at which a whole string fits into the text.
                         least, most = max(low, length + at - n), min(high, at)
@@ -126,21 +145,10 @@ def _context_rows(length: int, size: int):
                             continue
                         context = text[at - most : at + length - least]
                         key = hashlib.blake2b(text[at - low : at + length - high] + b"%d" % low, digest_size=8).digest()
-                        cell = int.from_bytes(key, "big", signed=True)
-                        if spot["crowded"]:
-                            same = (cell, most, context)
-                            other = held.get(same)
-                            if other is not None:
-                                put(1, cell, least, most, doc, mark, at - most, at - least + length, 0, b"")
-                                if columns[0][other] == 0:  # it repeats, too, and stays for other tasks
-                                    row = [c[other] for c in columns]
-                                    put(1, cell, row[2], row[3], row[4], row[5], row[6] - row[3], row[6] - row[2] + length, 0, b"")
-                                    columns[0][other] = 2
-                                continue
-                            held[same] = len(columns[0])
-                        put(0, cell, least, most, doc, mark, at, 0, most, context)
+                        put(0, int.from_bytes(key, "big", signed=True), least, most, doc, mark, at, 0, most, context)
+                for start, stop in _union(done):
+                    settle(doc, mark, start, stop)
             if columns[0]:
-                columns[0] = [1 if k == 1 else 0 for k in columns[0]]
                 kinds = [pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
                 whole = pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -235,17 +243,23 @@ def _spans_of_cells(length: int):
     return run
 
 
+def _union(spans: list[tuple[int, int]]) -> list[list[int]]:
+    """The spans, sorted, with those that overlap or touch made one."""
+    union: list[list[int]] = []
+    for start, stop in sorted(spans):
+        if union and start <= union[-1][1]:
+            union[-1][1] = max(union[-1][1], stop)
+        else:
+            union.append([start, stop])
+    return union
+
+
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        merged = []
-        for spans in batch.column("spans").to_pylist():
-            union: list[list[int]] = []
-            for start, stop in sorted((s["start"], s["stop"]) for s in spans):
-                if union and start <= union[-1][1]:
-                    union[-1][1] = max(union[-1][1], stop)
-                else:
-                    union.append([start, stop])
-            merged.append(union)
+        column = batch.column("spans")
+        starts, stops = (column.flatten().field(k).to_pylist() for k in (0, 1))
+        cuts = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).tolist()
+        merged = [_union(list(zip(starts[a:b], stops[a:b]))) for a, b in zip(cuts, cuts[1:])]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("mark"), pa.array(merged, pa.list_(pa.list_(pa.int64())))],
             names=["doc_id", "mark", "spans"],
@@ -302,9 +316,8 @@ def repeated_spans(
         .agg(F.collect_set(F.struct("at", "crowded")).alias("spots"))
     )
     spots = stage(spots, "spots").withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
-    number = spots.agg(F.coalesce(F.sum(F.size("spots")), F.lit(0))).first()[0]
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
-    placed = rows.join(F.broadcast(spots) if number <= BROADCAST_ANCHORS else spots, same)
+    placed = rows.join(spots.hint("merge"), same)
     contexts = placed.select("doc_id", "mark", "text", "spots").mapInArrow(_context_rows(length, size), CONTEXT)
     # Rows that a task has settled go the same way as the others, past the sorting.
     cells = contexts.repartition("cell").sortWithinPartitions("cell")
