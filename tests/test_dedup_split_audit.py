@@ -13,6 +13,7 @@ from textprep.operators.prepare import row_funnel
 from textprep.operators.skew import lookup
 
 SCHEMA = "row_id long, label int, clean_text string"
+from textprep.session import stage
 
 
 def corpus():
@@ -72,6 +73,27 @@ def test_lookup_finds_the_same_with_hot_keys(spark, hot_rows):
     assert len(got) == len(rows)
 
 
+@pytest.mark.parametrize("found", [True, False])
+def test_lookup_scatters_a_hot_key(spark, found):
+    """No task of the join gets much over its share, also if the hot key finds nothing."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") < 4000, 0).otherwise(F.col("id"))
+        left = stage(spark.range(5000).select(F.col("id").alias("row_id"), key.alias("k")), "left")
+        value = F.when((F.col("k") != 0) | F.lit(found), F.col("k"))
+        right = stage(left.groupBy("k").agg(F.count("*").alias("w")).withColumn("v", value), "right")
+        got = lookup(left, right, "k", ["v"], "row_id", "w", min_hot_rows=100)
+        sizes = [r["n"] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 5000 and max(sizes) <= 2 * 5000 / 8
+        assert got.filter("v is null").count() == (0 if found else 4000)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_row_funnel(spark):
     raw = spark.createDataFrame([(1, "1"), (2, "5"), (3, "x"), (4, None)], "row_id long, label string")
     part = raw.limit(1)

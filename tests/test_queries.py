@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import connect, difference
-from textprep.plans import queries
+from textprep.plans import oracles, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,7 +23,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_registries_fit():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"logreg_scores"}
+    assert set(queries.REGISTRY) - set(oracles.SQL) == {"logreg_scores"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

@@ -96,12 +96,12 @@ def overlap_label_conflicts(df: DataFrame, text: str = "clean_text", label: str
 def drop_train_overlap(df: DataFrame, texts: DataFrame, text: str = "clean_text") -> DataFrame:
     """Without the validation and test rows whose text occurs in train.
 
-    Only the leaked texts are joined, not all train texts.
+    All texts are listed with their rows, so that a frequent one is scattered
+    whether it leaks or not.
     """
-    leaked = (
-        texts.filter(_present("train") & (_present("val") | _present("test")))
-        .withColumn("_rows", F.col("train") + F.col("val") + F.col("test"))
-        .select("text_key", "_rows", F.lit(True).alias("_leaked"))
+    is_leaked = _present("train") & (_present("val") | _present("test"))
+    leaked = texts.withColumn("_rows", F.col("train") + F.col("val") + F.col("test")).select(
+        "text_key", "_rows", F.when(is_leaked, True).alias("_leaked")
     )
     keyed = df.withColumn("text_key", text_key(F.col(text)))
     marked = lookup(keyed, leaked, "text_key", ["_leaked"], scatter="row_id", weight="_rows")

@@ -51,7 +51,7 @@ def dedup_stats(groups: DataFrame, cfg: PrepConfig = PrepConfig()) -> DataFrame:
 
 
 def _mark_conflicts(df: DataFrame, groups: DataFrame, text: str) -> DataFrame:
-    conflicts = groups.filter(is_conflict()).select("text_key", "n_rows", F.lit(True).alias("_conflict"))
+    conflicts = groups.select("text_key", "n_rows", F.when(is_conflict(), True).alias("_conflict"))
     keyed = df.withColumn("text_key", text_key(F.col(text)))
     return lookup(keyed, conflicts, "text_key", ["_conflict"], scatter="row_id", weight="n_rows")
 

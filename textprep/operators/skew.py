@@ -25,10 +25,12 @@ def lookup(
     """``left`` with ``columns`` of ``right`` (null where the key is absent).
 
     ``right`` holds each key once and, in ``weight``, the number of ``left``
-    rows with that key. Keys above the limit are joined by broadcast, and their
-    rows are then scattered by ``scatter`` so that no task receives a hot group
-    in the shuffle that serves the other keys. ``right`` is read several times:
-    stage it when it is costly.
+    rows with that key. Give it every key of ``left``, with nulls where there is
+    nothing to find: a key can only be recognised as hot if it is listed. Keys
+    above the limit are joined by broadcast, and their rows are then scattered
+    by ``scatter`` so that no task receives a hot group in the shuffle that
+    serves the other keys. ``right`` is read several times: stage it when it is
+    costly.
     """
     found = right.agg(F.sum(weight).alias("total"), F.max(weight).alias("top")).first()
     limit = max(min_hot_rows, -(-(found["total"] or 0) // max_hot_keys))
@@ -38,7 +40,11 @@ def lookup(
     value = F.struct(*columns)
     is_hot = F.col(weight) >= F.lit(limit)
     hot = right.filter(is_hot).select(key, value.alias("_hot"))
-    cold = right.filter(~is_hot).select(key, F.lit(0).cast("bigint").alias("_spot"), value.alias("_cold"))
+    known = F.greatest(*[F.col(c).isNotNull() for c in columns], F.lit(False))
+    # Zero for every key, but no literal: the optimizer would fold that and drop
+    # the spot from the shuffle key.
+    spot = F.pmod(F.xxhash64(key), F.lit(1).cast("bigint"))
+    cold = right.filter(~is_hot & known).select(key, spot.alias("_spot"), value.alias("_cold"))
     marked = left.join(F.broadcast(hot), key, "left").withColumn(
         "_spot",
         F.when(F.col("_hot").isNotNull(), F.xxhash64(scatter)).otherwise(F.lit(0).cast("bigint")),
