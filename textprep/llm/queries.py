@@ -92,4 +92,13 @@ QUERIES = {
 }
 
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_exact_dedup": r"""
+        WITH n AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+        FROM n WINDOW w AS (PARTITION BY t)
+    """,
+}
