@@ -101,4 +101,65 @@ SQL: dict[str, str] = {
                doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY t)
     """,
+    "op5_ngram_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END) AS g
+            FROM words
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
+            FROM shingles x JOIN shingles y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL
+        ),
+        links AS (
+            SELECT a, b FROM common JOIN sizes s ON a = s.doc_id JOIN sizes t ON b = t.doc_id
+            WHERE 100 * o >= 85 * (s.n + t.n - o)
+        ),
+        reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+        SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(r.low, d.doc_id) AS component_id
+        FROM documents d LEFT JOIN sizes s USING (doc_id)
+        LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) r USING (doc_id)
+    """,
+    "op7_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+        ),
+        per AS (
+            SELECT source, encode(source) AS code, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+        ),
+        weighed AS (
+            SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(row_number() OVER (ORDER BY code NULLS LAST) - 1) % 3 + 1] AS w,
+                2.0::DOUBLE * source_size AS cap FROM per
+        ),
+        summed AS (
+            SELECT *, 1.5::DOUBLE * sum(source_size) OVER () AS total, sum(w) OVER () AS w_all,
+                coalesce(sum(cap) OVER earlier, 0) AS cap_before, coalesce(sum(w) OVER earlier, 0) AS w_before
+            FROM weighed WINDOW earlier AS (ORDER BY cap / w, code NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ),
+        levels AS (SELECT *, (total - cap_before) / (w_all - w_before) AS level FROM summed),
+        final AS (SELECT level AS common FROM levels WHERE level * w < cap ORDER BY cap / w, level LIMIT 1),
+        targets AS (
+            SELECT source, source_size, CASE WHEN level * w >= cap THEN cap ELSE common * w END AS target
+            FROM levels LEFT JOIN final ON true
+        ),
+        rated AS (
+            SELECT s.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 1 END AS rate
+            FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+        ),
+        drawn AS (
+            SELECT *, floor(rate) + (('0x' || substr(md5((k // 4)::VARCHAR || ':' || coalesce(doc_id::VARCHAR, 'null')), 8 * (k % 4) + 1, 8))::BIGINT
+                / 4294967296.0::DOUBLE < rate - floor(rate))::INT AS copies
+            FROM rated, range(32) seeds(k)
+        ),
+        misses AS (SELECT source, k, abs(sum(copies * size) - any_value(target)) AS miss FROM drawn GROUP BY source, k),
+        best AS (SELECT source, k FROM misses QUALIFY row_number() OVER (PARTITION BY source ORDER BY miss, k) = 1)
+        SELECT d.doc_id, d.size, d.source_size, d.target, (d.copies * d.size)::BIGINT AS taken
+        FROM drawn d JOIN best b ON d.source IS NOT DISTINCT FROM b.source AND d.k = b.k
+    """,
 }
