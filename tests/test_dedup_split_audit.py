@@ -208,8 +208,9 @@ def test_drop_train_overlap(spark, monkeypatch, hot_rows):
     assert sum(dropped) == len(AUDIT_ROWS) - len(want)
     after = audit.split_overlap(audit.texts_by_split(kept)).first()
     assert after["train_val"] == after["train_test"] == 0
-    redone = audit.leakage_audit(kept, audit.texts_by_split(kept), label="label").first()
-    assert audit.leakage_audit(kept, audit.after_drop(texts), label="label").first() == redone
+    redone = audit.leakage_audit(audit.texts_by_split(kept), audit.label_flags(kept)).first()
+    after = audit.leakage_audit(audit.after_drop(texts), audit.flags_after_drop(audit.label_flags(df)))
+    assert after.first() == redone
 
 
 def test_report(spark):
@@ -225,3 +226,36 @@ def test_report(spark):
     assert row["label_distribution"]["val"] == {"1": 1.0}
     assert row["text_length_stats"] == {"full_mean": 3.5, "train_mean": 3.0, "val_mean": 6.0, "test_mean": 2.0}
     assert set(row["split_overlap"].values()) == {0}
+
+
+def test_row_ids_must_be_given_and_unique(spark):
+    from textprep.operators.prepare import require_row_ids
+
+    require_row_ids(spark.range(5).withColumnRenamed("id", "row_id"))
+    for ids in ([1, None], [1, 2, 2]):
+        with pytest.raises(ValueError, match="row_id"):
+            require_row_ids(spark.createDataFrame([(i,) for i in ids], "row_id long"))
+
+
+@pytest.mark.parametrize("limit", [1000, 7])
+def test_numbered(spark, limit):
+    from textprep.operators.rows import numbered
+
+    rows = spark.range(100).select((F.col("id") * 37 % 100).alias("v"), (F.col("id") % 3).alias("w")).repartition(5)
+    got = numbered(rows, "place", F.col("v").desc(), in_one_task=limit).collect()
+    assert {(r["v"], r["place"]) for r in got} == {(v, 100 - v) for v in range(100)}
+
+
+def test_same_corpus_in_other_files_gets_the_same_split(spark, tmp_path):
+    from textprep.plans import jobs
+    from textprep.sources import corpus
+
+    rows = [(f"some text number {i % 150} here", str(i % 150 % 2)) for i in range(200)]
+    found = []
+    for parts in (1, 7):
+        source = str(tmp_path / f"c{parts}.parquet")
+        spark.createDataFrame(rows if parts == 1 else rows[::-1], "text string, label string").repartition(parts).write.parquet(source)
+        jobs.prepare(spark, source, str(tmp_path / f"out{parts}"))
+        done = corpus.read_splits(spark, str(tmp_path / f"out{parts}")).select("row_id", "clean_text", "label", "split")
+        found.append(sorted(map(tuple, done.collect())))
+    assert found[0] == found[1] and len(found[0]) == 150

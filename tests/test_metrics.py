@@ -153,3 +153,18 @@ def test_evaluate_splits(spark, given):
     assert tuple(row["val_threshold_search"]) == (given is None, f1)
     tp = sum(y for y, p in scores(2) if p >= thr)
     assert row["test_metrics"]["confusion_matrix"][1][1] == tp
+
+
+@pytest.mark.parametrize("bad", [(None, 0.5), (2, 0.5), (1, None), (1, float("nan"))])
+def test_bad_rows_are_refused_not_dropped(spark, bad):
+    rows = spark.createDataFrame([(0, 0.1), (1, 0.9), bad], "label int, prob double")
+    for measure in (metrics.roc_auc, metrics.best_f1_threshold, metrics.evaluate):
+        with pytest.raises(Exception, match="not 0 or 1|no number"):
+            measure(rows).collect()
+
+
+@pytest.mark.parametrize("bad", [(None, 1), (2, 1), (1, None)])
+def test_bad_predictions_are_refused(spark, bad):
+    rows = spark.createDataFrame([(0, 0), (1, 1), bad], "label int, pred int")
+    with pytest.raises(Exception, match="not 0 or 1"):
+        metrics.confusion_counts(rows).collect()

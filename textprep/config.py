@@ -11,6 +11,12 @@ from dataclasses import asdict, dataclass
 CORPUS_FILE = "fake_news.csv"
 REPORT_NAME = "preprocessing_report.json"
 METRICS_NAME = "metrics.json"
+# Names under which models appear in summaries and results, by their kind.
+LINEAR_MODEL = "TFIDF+LogReg"
+SEQUENCE_MODELS = {"rnn_family": "RNN", "transformer": "HFTransformer"}
+# Field that says where a sequence model was loaded from, by its kind.
+MODEL_PATH_FIELDS = {"rnn_family": "model_file", "transformer": "model_load_dir"}
+SEQUENCE_LENGTHS = {"rnn_family": 500, "transformer": 512}
 SPLITS = ("train", "val", "test")
 BINARY_LABELS = (0, 1)
 

@@ -30,3 +30,26 @@ def coerce_label(df: DataFrame, column: str = "label") -> Column:
 
 def is_binary(label: Column) -> Column:
     return label.isin(*BINARY_LABELS)
+
+
+def binary_label(df: DataFrame, column: str = "label") -> Column:
+    """The label as INT; a row whose label is not 0 or 1 fails the job."""
+    label = coerce_label(df, column)
+    return F.when(is_binary(label), label.cast("int")).otherwise(_refuse("label is not 0 or 1", F.col(column)))
+
+
+def _refuse(message: str, value: Column) -> Column:
+    shown = F.coalesce(value.cast("string"), F.lit("null"))
+    return F.raise_error(F.concat(F.lit(f"{message}: "), shown)).cast("int")
+
+
+def checked_label(column: str = "label") -> Column:
+    """The column as it is; a value other than 0 and 1, null too, fails the job."""
+    label = F.col(column)
+    return F.when(label.isin(*BINARY_LABELS), label).otherwise(_refuse(f"{column} is not 0 or 1", label))
+
+
+def checked_score(column: str = "prob") -> Column:
+    """The column as it is; a score that is null or NaN fails the job."""
+    score = F.col(column)
+    return F.when(score.isNotNull() & ~F.isnan(score), score).otherwise(_refuse(f"{column} is no number", score))

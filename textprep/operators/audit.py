@@ -36,6 +36,11 @@ def after_drop(texts: DataFrame) -> DataFrame:
     )
 
 
+def flags_after_drop(flags: DataFrame) -> DataFrame:
+    """The flags once leaked rows are dropped: a text of train is shared no more."""
+    return flags.filter(~F.col("in_train"))
+
+
 def _present(split: str) -> Column:
     return F.col(split) > 0
 
@@ -71,28 +76,44 @@ def split_overlap(texts: DataFrame) -> DataFrame:
     return texts.agg(*_overlap_columns())
 
 
-def overlap_label_conflicts(df: DataFrame, text: str = "clean_text", label: str = "label") -> DataFrame:
-    """Shared texts whose label sets differ between the two splits.
+def label_flags(df: DataFrame, text: str = "clean_text", label: str = "label") -> DataFrame:
+    """Per distinct text: the splits it is in, the pairs of splits whose label
+    sets differ for it, and ``in_train``, whether dropping overlap removes it.
 
     Sets are compared label by label with flags, so no set is ever collected.
-    A null text is no key here, and a label that is not a number is in no set.
+    A null text shares the key of the empty one but is in no split here, and a
+    label that is not a number is in no set.
     """
-    labels = (
-        df.filter(F.col(text).isNotNull())
-        .select(text_key(F.col(text)).alias("text_key"), coerce_label(df, label).alias("_label"), "split")
-        .groupBy("text_key", "_label")
-        .agg(*[F.max(F.col("split") == s).alias(s) for s in SPLITS])
+    rows = df.select(
+        text_key(F.col(text)).alias("text_key"),
+        coerce_label(df, label).alias("_label"),
+        F.col(text).isNotNull().alias("_is_text"),
+        "split",
+    )
+    labels = rows.groupBy("text_key", "_label").agg(
+        *[F.max(F.col("_is_text") & (F.col("split") == s)).alias(s) for s in SPLITS],
+        F.max(F.col("split") == "train").alias("in_train"),
     )
     counted = F.col("_label").isNotNull()
-    per_text = labels.groupBy("text_key").agg(
+    return labels.groupBy("text_key").agg(
         *[F.max(s).alias(s) for s in SPLITS],
         *[F.max(counted & (F.col(a) != F.col(b))).alias(f"{a}_{b}") for a, b in PAIRS],
+        F.max("in_train").alias("in_train"),
     )
-    return per_text.agg(
+
+
+def label_conflicts(flags: DataFrame) -> DataFrame:
+    """Shared texts whose label sets differ between the two splits."""
+    return flags.agg(
         *[F.count_if(F.col(a) & F.col(b) & F.col(f"{a}_{b}")).alias(f"{a}_{b}") for a, b in PAIRS]
     )
 
 
+def overlap_label_conflicts(df: DataFrame, text: str = "clean_text", label: str = "label") -> DataFrame:
+    """``label_conflicts`` of a table of rows."""
+    return label_conflicts(label_flags(df, text, label))
+
+
 def drop_train_overlap(df: DataFrame, texts: DataFrame, text: str = "clean_text") -> DataFrame:
     """Without the validation and test rows whose text occurs in train.
 
@@ -116,19 +137,18 @@ def dropped_eval_rows(texts: DataFrame) -> DataFrame:
     )
 
 
-def leakage_audit(
-    df: DataFrame,
-    texts: DataFrame,
-    text: str = "clean_text",
-    label: str | None = None,
-) -> DataFrame:
-    """The audit as one row; label conflicts are included when ``label`` is given."""
+def leakage_audit(texts: DataFrame, flags: DataFrame | None = None) -> DataFrame:
+    """The audit as one row; label conflicts are included when ``flags`` are given.
+
+    It needs the tables per distinct text alone. The audit after dropping
+    overlap follows from ``after_drop(texts)`` and ``flags_after_drop(flags)``.
+    """
     audit = texts.agg(
         F.struct(*[_stats_struct(s).alias(s) for s in SPLITS]).alias("split_stats"),
         F.struct(*_overlap_columns()).alias("cross_split_overlap"),
     )
-    if label is None:
+    if flags is None:
         return audit
-    conflicts = overlap_label_conflicts(df, text, label)
+    conflicts = label_conflicts(flags)
     packed = conflicts.select(F.struct(*conflicts.columns).alias("overlap_label_conflicts"))
     return side_by_side(audit, packed)

@@ -6,18 +6,22 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textprep.config import TfidfConfig
 from textprep.functions.clean import as_text, strip_accents
 from textprep.functions.tokens import word_ngrams, word_tokens
+from textprep.operators.rows import numbered
 from textprep.operators.skew import lookup
 from textprep.session import stage
 
-# A vocabulary up to this many terms may travel to every task.
+# A vocabulary up to this many terms and bytes may travel to every task.
 LOCAL_VOCABULARY = 2_000_000
+LOCAL_BYTES = 256 << 20
+# Rows that one task may sort to pick the top ones.
+SORT_ROWS = 1_000_000
 # Candidates per wanted term that one final sort may take.
 SORT_FACTOR = 50
 
@@ -82,48 +86,138 @@ def top_rows(rows: DataFrame, limit: int, weight: str, *ties: str) -> DataFrame:
             if seen >= limit:
                 break
         rows = rows.filter(magnitude >= F.lit(lowest))
+    if limit > SORT_ROWS:
+        placed = numbered(rows, "_place", F.col(weight).desc(), *ties, in_one_task=SORT_ROWS)
+        return placed.filter(F.col("_place") <= limit).drop("_place")
     return rows.orderBy(F.col(weight).desc(), *ties).limit(limit)
 
 
+def fits_locally(terms: DataFrame, limit: int | None = None) -> bool:
+    """Whether a term list is small enough, in rows and bytes, to go to every task."""
+    size = terms.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("bytes")
+    ).first()
+    return size["n"] <= (LOCAL_VOCABULARY if limit is None else limit) and size["bytes"] <= LOCAL_BYTES
+
+
+def _extendable(level: DataFrame, found: DataFrame | None, cfg: TfidfConfig) -> list[str] | None:
+    """The n-grams of one length that longer vocabulary terms can hold, or None for all.
+
+    A term occurs at most as often as its parts. So once ``max_features`` terms
+    reach some frequency, no n-gram with a rarer part gets in; before that, the
+    frequent n-grams are fewer than ``max_features`` but for those above
+    ``max_df``. Either way the list is short; if ties make it long, nothing is
+    pruned and the result is the same.
+    """
+    least = 0
+    if found is not None:
+        top = top_rows(found, cfg.max_features, "tf", "term")
+        last = top.agg(F.count(F.lit(1)).alias("n"), F.min("tf").alias("tf")).first()
+        least = last["tf"] if last["n"] == cfg.max_features else 0
+    parts = level.filter(F.col("tf") >= F.lit(least)).select("term")
+    return parts.toPandas()["term"].tolist() if fits_locally(parts) else None
+
+
+def vocabulary_candidates(df: DataFrame, n_docs: int, cfg: TfidfConfig, text: str) -> DataFrame:
+    """tf and df of all n-grams that can be in the vocabulary, length by length.
+
+    Each row sends its distinct n-grams with their counts, and only those whose
+    parts were frequent enough: rare n-grams, nearly all of a large corpus,
+    never enter a shuffle.
+    """
+    tokens = stage(with_tokens(df.select(text), text).select("tokens"), "tokens")
+    low = _bound(cfg.min_df, n_docs)
+    found, known = None, None
+    for n in range(1, cfg.ngram_max + 1):
+        counts = _gram_counter(df.sparkSession, n, n, known)
+        per_row = tokens.select(F.inline(counts(F.col("tokens"))))
+        level = per_row.groupBy("term").agg(F.sum("n").alias("tf"), F.count(F.lit(1)).alias("df"))
+        level = stage(level.filter(F.col("df") >= F.lit(low)), "terms")
+        if n >= cfg.ngram_min:
+            fit = eligible_terms(level, n_docs, cfg)
+            found = fit if found is None else found.unionByName(fit)
+        if n < cfg.ngram_max:
+            known = _extendable(level, found, cfg)
+    return found
+
+
 def tfidf_vocab(df: DataFrame, cfg: TfidfConfig = TfidfConfig(), text: str = "clean_text") -> DataFrame:
     """The vocabulary of ``df``: term, id (in term order), tf, df and idf."""
     n_docs = df.count()
-    terms = stage(eligible_terms(term_stats(df, cfg, text), n_docs, cfg), "terms")
-    chosen = top_rows(terms, cfg.max_features, "tf", "term")
-    in_order = Window.partitionBy(F.lit(0)).orderBy("term")  # over max_features rows
-    return chosen.select(
+    terms = vocabulary_candidates(df, n_docs, cfg, text)
+    chosen = stage(top_rows(terms, cfg.max_features, "tf", "term"), "chosen-terms")
+    return numbered(chosen, "_place", "term", in_one_task=SORT_ROWS).select(
         "term",
-        (F.row_number().over(in_order) - 1).alias("id"),
+        (F.col("_place") - 1).cast("int").alias("id"),
         "tf",
         "df",
         smooth_idf(n_docs, F.col("df")).alias("idf"),
     )
 
 
-def _grams(flat: pa.Array, rows: np.ndarray, n: int) -> tuple[pa.Array, np.ndarray]:
-    """All n-grams of the concatenated tokens that stay inside one row."""
-    count = max(len(flat) - n + 1, 0)
-    if n == 1 or count == 0:
-        return flat.slice(0, count), rows[:count]
-    joined = pc.binary_join_element_wise(*[flat.slice(i, count) for i in range(n)], " ")
+def _flat(tokens: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of a batch one after the other, and the row of each."""
+    lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+    return tokens.flatten(), np.repeat(np.arange(len(tokens), dtype=np.int64), lengths)
+
+
+def _joined(parts: list[pa.Array]) -> pa.Array:
+    return parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, " ")
+
+
+def _grams(flat: pa.Array, rows: np.ndarray, n: int, known: pa.Array | None = None) -> tuple[pa.Array, np.ndarray]:
+    """All n-grams that stay inside one row, with their rows.
+
+    With ``known`` only those whose first and last n - 1 tokens are in it.
+    """
+    count = len(flat) - n + 1
+    if count <= 0:
+        return flat.slice(0, 0), rows[:0]
     inside = rows[:count] == rows[n - 1 :]
-    return joined.filter(pa.array(inside)), rows[:count][inside]
+    if known is not None:
+        shorter = _joined([flat.slice(i, count + 1) for i in range(n - 1)])
+        hit = pc.is_in(shorter, value_set=known).to_numpy(zero_copy_only=False)
+        inside &= hit[:-1] & hit[1:]
+    mask = pa.array(inside)
+    return _joined([flat.slice(i, count).filter(mask) for i in range(n)]), rows[:count][inside]
+
+
+def _gram_counter(spark: SparkSession, low: int, high: int, known: list[str] | None = None):
+    """A function from token lists to each row's distinct n-grams with their counts."""
+    shared = None if known is None else spark.sparkContext.broadcast(known)
+    cache: dict[str, pa.Array] = {}
+
+    @F.arrow_udf("array<struct<term:string,n:bigint>>")
+    def counts(tokens: pa.Array) -> pa.Array:
+        if shared is not None and "known" not in cache:
+            cache["known"] = pa.array(shared.value, pa.string())
+        flat, rows = _flat(tokens)
+        found = [_grams(flat, rows, n, cache.get("known")) for n in range(low, high + 1)]
+        coded = pa.concat_arrays([g for g, _ in found]).dictionary_encode()
+        owner = np.concatenate([r for _, r in found])
+        width = np.int64(max(len(coded.dictionary), 1))
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        cell, n = np.unique(owner * width + codes, return_counts=True)
+        owner, code = np.divmod(cell, width)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(tokens)))])
+        terms = coded.dictionary.take(pa.array(code))
+        items = pa.StructArray.from_arrays([terms, pa.array(n.astype(np.int64))], names=["term", "n"])
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), items)
+
+    return counts
 
 
 def _weigh(tokens: pa.Array, terms: pa.Array, idf: np.ndarray, cfg: TfidfConfig):
     """Row offsets, term ids and unit-length weights of a batch of token lists."""
-    lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
-    rows = np.repeat(np.arange(len(tokens), dtype=np.int64), lengths)
-    flat = tokens.flatten()
+    flat, rows = _flat(tokens)
     width = np.int64(max(len(terms), 1))
-    cells = []
-    for n in range(cfg.ngram_min, cfg.ngram_max + 1):
-        grams, owner = _grams(flat, rows, n)
-        term = pc.index_in(grams, value_set=terms)
-        known = pc.is_valid(term).to_numpy(zero_copy_only=False)
-        term = term.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
-        cells.append(owner[known] * width + term)
-    cell, tf = np.unique(np.concatenate(cells), return_counts=True)
+    found = [_grams(flat, rows, n) for n in range(cfg.ngram_min, cfg.ngram_max + 1)]
+    # One lookup of all lengths: each builds the hash table of the terms anew.
+    term = pc.index_in(pa.concat_arrays([g for g, _ in found]), value_set=terms)
+    known = pc.is_valid(term).to_numpy(zero_copy_only=False)
+    owner = np.concatenate([r for _, r in found])[known]
+    term = term.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
+    cell, tf = np.unique(owner * width + term, return_counts=True)
     owner, term = np.divmod(cell, width)
     weight = (1.0 + np.log(tf)) * idf[term]
     norm = np.sqrt(np.bincount(owner, weights=weight * weight, minlength=len(tokens)))
@@ -165,8 +259,6 @@ def vectorizer(vocab: DataFrame, cfg: TfidfConfig = TfidfConfig(), bias: bool =
     With ``bias`` a last feature of value 1 is appended.
     """
     size = vocab.count()
-    if size > LOCAL_VOCABULARY:
-        raise ValueError(f"{size} terms are too many to ship to every task; see tfidf_weights")
     table = vocab.orderBy("id").select("term", "idf").toPandas()
     shared = vocab.sparkSession.sparkContext.broadcast(
         (table["term"].tolist(), table["idf"].to_numpy())
@@ -199,11 +291,14 @@ def tfidf_vectors(
     """Add ``features``; unknown terms are ignored, rows have unit length.
 
     ``bias`` appends a constant feature and ``sign`` (1.0 or -1.0) multiplies
-    the whole row; both serve the classifier.
+    the whole row; both serve the classifier. A vocabulary too large to ship is
+    joined instead, which needs a unique ``row_id``.
     """
+    signs = F.lit(1.0) if sign is None else sign
+    if not fits_locally(vocab):
+        return _vectors_by_join(df, vocab, cfg, text, bias, signs)
     vectorize = vectorizer(vocab, cfg, bias)
     tokens = with_tokens(df, text, "_tokens")
-    signs = F.lit(1.0) if sign is None else sign
     return tokens.withColumn("features", vectorize(F.col("_tokens"), signs)).drop("_tokens")
 
 
@@ -215,19 +310,30 @@ def tfidf_weights(
 ) -> DataFrame:
     """Long form: one row per row_id and known term with its normalised weight.
 
-    Suits a vocabulary of any size: a small one is broadcast, a larger one is
-    joined with its frequent terms apart (``df`` counts the rows of each term).
+    A vocabulary that fits is shipped, and the cells are taken from the rows'
+    vectors without a shuffle. A larger one is joined with the distinct terms of
+    each row, which are counted where the row is.
     """
+    if fits_locally(vocab):
+        v = F.unwrap_udt("features")
+        vectors = tfidf_vectors(df.select("row_id", text), vocab, cfg, text).select("row_id", v.alias("v"))
+        cells = vectors.select(
+            "row_id", F.inline(F.arrays_zip(F.col("v.indices").alias("id"), F.col("v.values").alias("value")))
+        )
+        named = cells.join(F.broadcast(vocab.select("id", "term")), "id")
+        return named.select("row_id", "id", "term", "value")
+    return _weights_by_join(df, vocab, cfg, text)
+
+
+def _weights_by_join(df: DataFrame, vocab: DataFrame, cfg: TfidfConfig, text: str) -> DataFrame:
+    counts = _gram_counter(df.sparkSession, cfg.ngram_min, cfg.ngram_max)
     tokens = with_tokens(df.select("row_id", text), text)
-    grams = tokens.select(
-        "row_id", F.explode(word_ngrams(F.col("tokens"), cfg.ngram_min, cfg.ngram_max)).alias("term")
-    )
-    tf = grams.groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("n"))
-    if vocab.count() <= LOCAL_VOCABULARY:
-        known = tf.join(F.broadcast(vocab.select("term", "id", "idf")), "term")
-    else:
-        found = lookup(tf, vocab, "term", ["id", "idf"], scatter="row_id", weight="df")
-        known = found.filter(F.col("id").isNotNull())
+    tf = tokens.select("row_id", F.inline(counts(F.col("tokens"))))
+    # Every term of the rows with its count: one outside the vocabulary can be hot too.
+    rows_of = tf.groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
+    listed = stage(rows_of.join(vocab.select("term", "id", "idf"), "term", "left"), "listed-terms")
+    found = lookup(tf, listed, "term", ["id", "idf"], scatter="row_id", weight="_rows")
+    known = found.filter(F.col("id").isNotNull())
     raw = (F.lit(1.0) + F.log("n")) * F.col("idf")
     row = Window.partitionBy("row_id")
     return known.withColumn("raw", raw).select(
@@ -236,3 +342,27 @@ def tfidf_weights(
         "term",
         (F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(row))).alias("value"),
     )
+
+
+def _vectors_by_join(
+    df: DataFrame, vocab: DataFrame, cfg: TfidfConfig, text: str, bias: bool, sign: Column
+) -> DataFrame:
+    size = vocab.count()
+    cell = F.struct("id", "value")
+    cells = _weights_by_join(df, vocab, cfg, text).groupBy("row_id").agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
+
+    @F.arrow_udf(VectorUDT())
+    def pack(ids: pa.Array, values: pa.Array, signs: pa.Array) -> pa.Array:
+        flat, owner = _flat(ids)
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(ids)))])
+        term = flat.to_numpy(zero_copy_only=False).astype(np.int64)
+        weight = values.flatten().to_numpy(zero_copy_only=False)
+        if bias:
+            offsets, term, weight = _with_bias(offsets, term, weight, size)
+        weight = weight * np.repeat(signs.to_numpy(zero_copy_only=False), np.diff(offsets))
+        return _sparse_vectors(offsets, term, weight, size + int(bias))
+
+    joined = df.join(cells, "row_id", "left")
+    ids = F.coalesce(F.col("_cells.id"), F.array().cast("array<int>"))
+    values = F.coalesce(F.col("_cells.value"), F.array().cast("array<double>"))
+    return joined.withColumn("features", pack(ids, values, sign)).select(*df.columns, "features")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textprep.config import DEFAULT_THRESHOLD, SWEEP_COUNT
+from textprep.functions.labels import checked_label, checked_score
 from textprep.functions.scores import (
     apply_threshold,
     softmax_prob,
@@ -29,12 +30,17 @@ def _ratio(top: Column, bottom: Column) -> Column:
 
 
 def confusion_counts(df: DataFrame, *by: str) -> DataFrame:
-    """tn, fp, fn and tp from ``label`` and ``pred``, per group of ``by``."""
+    """tn, fp, fn and tp from ``label`` and ``pred``, per group of ``by``.
+
+    Every row is in one of the cells: a label or a prediction that is not 0 or 1
+    fails the job.
+    """
+    rows = df.select(*by, checked_label().alias("label"), checked_label("pred").alias("pred"))
 
     def cell(label: int, pred: int) -> Column:
         return F.count_if((F.col("label") == label) & (F.col("pred") == pred))
 
-    return df.groupBy(*by).agg(
+    return rows.groupBy(*by).agg(
         cell(0, 0).alias("tn"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"), cell(1, 1).alias("tp")
     )
 
@@ -115,15 +121,26 @@ def _report_struct() -> Column:
     )
 
 
+def _all_counted(rows: str) -> Column:
+    """A count of labels, if with the other label it covers all ``n`` rows."""
+    wrong = F.concat(F.lit("rows whose label is not 0 or 1: "), (F.col("n") - F.col("pos") - F.col("neg")).cast("string"))
+    return F.when(F.col("pos") + F.col("neg") == F.col("n"), F.col(rows)).otherwise(F.raise_error(wrong).cast("bigint"))
+
+
 def score_table(df: DataFrame, *by: str) -> DataFrame:
     """Rows of each label per distinct score: all that metrics need of a table.
 
     Staged, so that the predictions are read once however many metrics follow.
+    A row with a bad label or score fails the job.
     """
     counts = df.groupBy(*by, "prob").agg(
-        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
+        F.count_if(F.col("label") == 1).alias("pos"),
+        F.count_if(F.col("label") == 0).alias("neg"),
+        F.count(F.lit(1)).alias("n"),
     )
-    return stage(counts, "scores")
+    # Checked on the few distinct scores, so that a model's output is computed once per row.
+    checked = counts.select(*by, checked_score().alias("prob"), *[_all_counted(c).alias(c) for c in ("pos", "neg")])
+    return stage(checked, "scores")
 
 
 def _cells(threshold: float) -> list[Column]:
@@ -196,7 +213,8 @@ def best_f1_threshold(df: DataFrame) -> DataFrame:
     rows) replaces one pass per threshold.
     """
     spark = df.sparkSession
-    hist = df.groupBy(thresholds_passed(F.col("prob")).alias("passed")).agg(
+    checked = df.select(checked_label().alias("label"), checked_score().alias("prob"))
+    hist = checked.groupBy(thresholds_passed(F.col("prob")).alias("passed")).agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
     empty = spark.range(0, SWEEP_COUNT + 1, 1, 1).select(

@@ -19,6 +19,20 @@ def require_columns(df: DataFrame, required=REQUIRED_COLUMNS) -> None:
         raise ValueError(f"columns {sorted(required)} are required, missing: {missing}")
 
 
+def require_row_ids(df: DataFrame) -> None:
+    """Every row needs a ``row_id`` of its own: rows are told apart by nothing else.
+
+    One narrow shuffle of ids, pre-aggregated where they repeat.
+    """
+    per_id = df.groupBy("row_id").agg(F.count(F.lit(1)).alias("n"))
+    found = per_id.agg(
+        F.coalesce(F.sum(F.when(F.col("row_id").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
+        F.count_if(F.col("row_id").isNotNull() & (F.col("n") > 1)).alias("repeated"),
+    ).first()
+    if found["missing"] or found["repeated"]:
+        raise ValueError(f"row_id is null in {found['missing']} rows and {found['repeated']} ids repeat")
+
+
 def resolve_text_column(df: DataFrame, preferred: str = "clean_text") -> str:
     for name in (preferred, "clean_text", "text"):
         if name in df.columns:

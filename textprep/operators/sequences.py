@@ -6,12 +6,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from textprep.config import OOV_ID, SequenceConfig
 from textprep.functions.clean import as_text
 from textprep.functions.tokens import attention_mask, pad_post, sequence_tokens, truncate
-from textprep.operators.features import LOCAL_VOCABULARY, top_rows
+from textprep.operators.features import SORT_ROWS, fits_locally, top_rows
+from textprep.operators.rows import numbered
 from textprep.operators.skew import lookup
 from textprep.session import stage
 
@@ -35,12 +35,14 @@ def word_counts(df: DataFrame, text: str = "clean_text") -> DataFrame:
 
 def _first_positions(df: DataFrame, words: DataFrame, text: str) -> DataFrame:
     """Where each word stands in its first row; reads those rows only."""
+    # Unless the words are few, Spark picks the joins by size.
+    ship = F.broadcast if fits_locally(words) else lambda table: table
     ends = words.agg(F.min("first_row").alias("low"), F.max("first_row").alias("high")).first()
     near = df.select("row_id", text).filter(F.col("row_id").between(ends["low"], ends["high"]))
     firsts = words.select(F.col("first_row").alias("row_id")).distinct()
-    rows = near.join(F.broadcast(firsts), "row_id", "left_semi")
+    rows = near.join(ship(firsts), "row_id", "left_semi")
     places = rows.select(F.col("row_id").alias("first_row"), F.posexplode(_words(text)).alias("pos", "term"))
-    return places.join(F.broadcast(words), ["first_row", "term"]).groupBy("term").agg(F.min("pos").alias("pos"))
+    return places.join(ship(words), ["first_row", "term"]).groupBy("term").agg(F.min("pos").alias("pos"))
 
 
 def sequence_vocab(
@@ -53,8 +55,6 @@ def sequence_vocab(
     limit = cfg.vocab_size - FIRST_WORD_ID
     if limit <= 0:
         raise ValueError("vocab_size leaves no room for words")
-    if limit > LOCAL_VOCABULARY:
-        raise ValueError(f"vocab_size may be at most {LOCAL_VOCABULARY}")
     counts = stage(word_counts(df, text), "words")
     last = top_rows(counts, limit, "tf", "first_row").orderBy("tf", F.col("first_row").desc()).first()
     empty = counts.select("term", F.lit(0).alias("id"), "tf").limit(0)
@@ -63,10 +63,9 @@ def sequence_vocab(
     # Words level with the last one stand in the same row: its position decides.
     level = (F.col("tf") == last["tf"]) & (F.col("first_row") <= last["first_row"])
     words = counts.filter((F.col("tf") > last["tf"]) | level)
-    order = Window.partitionBy(F.lit(0)).orderBy(F.col("tf").desc(), "first_row", "pos")
-    ranked = words.join(_first_positions(df, words, text), "term").withColumn(
-        "id", F.row_number().over(order) + (FIRST_WORD_ID - 1)
-    )
+    placed = stage(words.join(_first_positions(df, words, text), "term"), "placed-words")
+    ranked = numbered(placed, "_place", F.col("tf").desc(), "first_row", "pos", in_one_task=SORT_ROWS)
+    ranked = ranked.withColumn("id", (F.col("_place") + (FIRST_WORD_ID - 1)).cast("int"))
     return ranked.filter(F.col("id") < cfg.vocab_size).select("term", "id", "tf")
 
 
@@ -93,9 +92,12 @@ def _id_lookup(vocab: DataFrame):
 
 def _ids_by_join(df: DataFrame, vocab: DataFrame) -> DataFrame:
     """The same for a vocabulary too large to ship: at most ``max_len`` words of
-    a row are joined and collected again."""
+    a row are joined and collected again. Needs a unique ``row_id``."""
     words = df.select("row_id", F.posexplode("_words").alias("pos", "term"))
-    found = lookup(words, vocab, "term", ["id"], scatter="row_id", weight="tf")
+    # Every word of the rows with its count: one outside the vocabulary can be hot too.
+    rows_of = words.groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
+    listed = stage(rows_of.join(vocab.select("term", "id"), "term", "left"), "listed-words")
+    found = lookup(words, listed, "term", ["id"], scatter="row_id", weight="_rows")
     item = F.struct("pos", F.coalesce("id", F.lit(OOV_ID)).alias("id"))
     lists = found.groupBy("row_id").agg(F.array_sort(F.collect_list(item)).alias("_items"))
     joined = df.join(lists, "row_id", "left")
@@ -108,7 +110,7 @@ def encode(
     vocab: DataFrame,
     cfg: SequenceConfig = SequenceConfig(),
     text: str = "clean_text",
-    local_vocabulary: int = LOCAL_VOCABULARY,
+    local_vocabulary: int | None = None,
 ) -> DataFrame:
     """Add ``ids`` of length ``max_len`` and the attention ``mask``.
 
@@ -118,7 +120,7 @@ def encode(
     # Two steps: the cut refers to the words several times.
     words = df.withColumn("_all", _words(text))
     cut = words.withColumn("_words", truncate(F.col("_all"), cfg.max_len, cfg.truncate_strategy)).drop("_all")
-    if vocab.count() <= local_vocabulary:
+    if fits_locally(vocab, local_vocabulary):
         found = cut.withColumn("ids", _id_lookup(vocab)(F.col("_words")))
     else:
         found = _ids_by_join(cut, vocab)

@@ -20,7 +20,7 @@ from textprep.config import PrepConfig
 
 DIGITS = 3  # hex digits per histogram level: at most 4,096 buckets per label
 RANK_ROWS = 1_000_000  # a bucket up to this size is ranked by one task
-MAX_LABELS = 100  # strata whose counts the driver may hold
+MAX_LABELS = 100  # default of ``max_labels``: strata whose counts the driver holds
 
 
 def largest_remainder(counts: list[int], draws: int) -> list[int]:
@@ -69,13 +69,13 @@ def row_hash(seed: int, row_id: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")).cast("binary"))
 
 
-def _histogram(rows: DataFrame, depth: int) -> dict[tuple[int, str], int]:
+def _histogram(rows: DataFrame, depth: int, max_labels: int) -> dict[tuple[int, str], int]:
     """Rows per label and hash prefix; at most 4,096 prefixes per open bucket."""
     buckets = rows.groupBy("label", F.substring("_hash", 1, depth).alias("prefix")).count()
-    bound = 2 * MAX_LABELS * 16**DIGITS
+    bound = 2 * max_labels * 16**DIGITS
     found = buckets.limit(bound + 1).collect()
     if len(found) > bound:
-        raise ValueError(f"more than {MAX_LABELS} labels to stratify by")
+        raise ValueError(f"more than {max_labels} labels to stratify by")
     return {(r["label"], r["prefix"]): r["count"] for r in found}
 
 
@@ -98,15 +98,15 @@ def _descend(cut: _Cut, buckets: dict[tuple[int, str], int]) -> None:
         cut.offset -= n
 
 
-def _find_cuts(rows: DataFrame, cfg: PrepConfig) -> dict[tuple[int, str], tuple[str, int]]:
-    buckets = _histogram(rows, DIGITS)
+def _find_cuts(rows: DataFrame, cfg: PrepConfig, max_labels: int) -> dict[tuple[int, str], tuple[str, int]]:
+    buckets = _histogram(rows, DIGITS, max_labels)
     counts: dict[int, int] = {}
     for (label, _), n in sorted(buckets.items()):
         counts[label] = counts.get(label, 0) + n
     if not counts:
         raise ValueError("there are no rows to split")
-    if len(counts) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels to stratify by")
+    if len(counts) > max_labels:
+        raise ValueError(f"more than {max_labels} labels to stratify by")
     labels = list(counts)
     cuts = []
     for label, (n_test, n_val) in zip(labels, split_quotas([counts[l] for l in labels], cfg)):
@@ -117,7 +117,7 @@ def _find_cuts(rows: DataFrame, cfg: PrepConfig) -> dict[tuple[int, str], tuple[
         _descend(cut, buckets)
     while open_cuts := [c for c in cuts if c.rows > RANK_ROWS]:
         depth = len(open_cuts[0].prefix) + DIGITS
-        buckets = _histogram(rows.filter(_under(open_cuts)), depth)
+        buckets = _histogram(rows.filter(_under(open_cuts)), depth, max_labels)
         for cut in open_cuts:
             _descend(cut, buckets)
 
@@ -143,17 +143,20 @@ def _find_cuts(rows: DataFrame, cfg: PrepConfig) -> dict[tuple[int, str], tuple[
 
 
 def stratified_split(
-    df: DataFrame, cfg: PrepConfig = PrepConfig(), keys: DataFrame | None = None
+    df: DataFrame, cfg: PrepConfig = PrepConfig(), keys: DataFrame | None = None, max_labels: int = MAX_LABELS
 ) -> DataFrame:
     """Add ``split``. Needs unique ``row_id`` and an integer ``label``.
 
+    ``max_labels`` bounds the table of hash prefixes the driver holds (4,096 per
+    label); more labels than that are refused, never dropped.
+
     A few narrow jobs first read ``keys``: ``row_id`` and ``label`` of the same
     rows, by default taken from ``df``. Stage what they read when it is costly.
     """
     narrow = (df if keys is None else keys).select("label", "row_id").withColumn(
         "_hash", row_hash(cfg.random_state, F.col("row_id"))
     )
-    cuts = _find_cuts(narrow, cfg)
+    cuts = _find_cuts(narrow, cfg, max_labels)
 
     def reached(part: str) -> Column:
         tests = [

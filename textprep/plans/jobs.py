@@ -1,4 +1,8 @@
-"""The five jobs. Each reads files, composes operators and writes files."""
+"""The jobs. Each reads files, composes operators and writes files.
+
+What a job stages is removed when it ends. The field names in the documents
+they write are fixed values: other tools read them.
+"""
 
 from __future__ import annotations
 
@@ -9,18 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textprep.config import (
+    LINEAR_MODEL,
     METRICS_NAME,
+    MODEL_PATH_FIELDS,
     REPORT_NAME,
+    SEQUENCE_LENGTHS,
+    SEQUENCE_MODELS,
     PrepConfig,
     SequenceConfig,
     TfidfConfig,
 )
+from textprep.functions.labels import binary_label
 from textprep.functions.scores import softmax_prob
 from textprep.operators import audit, dedup, features, metrics, model, report, sequences, split
 from textprep.operators.compare import best_model, leaderboard
-from textprep.operators.prepare import prepare_rows, resolve_text_column
-from textprep.operators.rows import side_by_side
-from textprep.session import stage
+from textprep.operators.prepare import prepare_rows, require_row_ids, resolve_text_column
+from textprep.operators.rows import settled, side_by_side
+from textprep.session import removes_staged, stage
 from textprep.sources import documents
 from textprep.sources.corpus import read_corpus, read_split, read_splits, resolve_split_dir, write_splits
 from textprep.sources.paths import join
@@ -37,6 +46,7 @@ def split_kept(cleaned: DataFrame, groups: DataFrame, cfg: PrepConfig) -> DataFr
     return split.stratified_split(kept, cfg, keys)
 
 
+@removes_staged
 def prepare(
     spark: SparkSession,
     source: str,
@@ -44,16 +54,22 @@ def prepare(
     cfg: PrepConfig = PrepConfig(),
     row_id: str | None = None,
     csv: bool = False,
+    multiline: bool = True,
 ) -> DataFrame:
     """Clean, filter, deduplicate, split and report. Returns the report row.
 
+    A null or repeated ``row_id`` fails the job, since rows would be lost or
+    come back by it. With ``multiline`` off a large CSV is read in parallel.
+
     The cleaned texts are written once; counting, deduplication and the quotas
     of the split then work on narrow columns of that table, and the texts move
     once more when the survivors are taken.
     """
-    raw = read_corpus(spark, source, row_id)
+    raw = read_corpus(spark, source, row_id, multiline)
+    # Not observed on the way: models cannot be applied in a session that has observed.
     rows_before = raw.count()
     cleaned = stage(prepare_rows(raw, cfg), "cleaned")
+    require_row_ids(cleaned)
     groups = stage(dedup.text_groups(cleaned), "text-groups")
     stats = dedup.dedup_stats(groups, cfg)
     write_splits(split_kept(cleaned, groups, cfg), target, csv)
@@ -63,7 +79,10 @@ def prepare(
         "rows_dropped", F.lit(rows_before) - F.col("rows_after")
     )
     overlap = audit.split_overlap(audit.texts_by_split(done))
-    row = report.build_report(report.split_label_table(done), overlap, cfg, funnel)
+    row = settled(report.build_report(report.split_label_table(done), overlap, cfg, funnel))
+    result = row.select("deduplication.rows_after", "num_samples.full").first()
+    if result["rows_after"] != result["full"]:
+        raise RuntimeError(f"{result['rows_after']} rows were to be kept, {result['full']} were written")
     documents.write_json(row, join(target, REPORT_NAME))
     return row
 
@@ -71,12 +90,16 @@ def prepare(
 def _audited(
     splits: DataFrame, text: str, label: str | None, drop: bool
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Splits (without leaked rows if asked), audits before/after, drop counts."""
+    """Splits (without leaked rows if asked), audits before/after, drop counts.
+
+    Both audits follow from two tables per distinct text; no text is staged.
+    """
     texts = stage(audit.texts_by_split(splits, text), "texts-by-split")
-    before = audit.leakage_audit(splits, texts, text, label)
+    flags = None if label is None else stage(audit.label_flags(splits, text, label), "label-flags")
+    before = audit.leakage_audit(texts, flags)
     if drop:
-        kept = stage(audit.drop_train_overlap(splits, texts, text), "leak-free")
-        after = audit.leakage_audit(kept, audit.after_drop(texts), text, label)
+        kept = audit.drop_train_overlap(splits, texts, text)
+        after = audit.leakage_audit(audit.after_drop(texts), None if flags is None else audit.flags_after_drop(flags))
         dropped = audit.dropped_eval_rows(texts)
     else:
         kept, after = splits, before
@@ -96,6 +119,7 @@ def _literals(name: str, values: dict) -> Any:
     return F.struct(*[F.lit(v).alias(k) for k, v in values.items()]).alias(name)
 
 
+@removes_staged
 def train_tfidf_logreg(
     spark: SparkSession,
     data_dir: str,
@@ -112,7 +136,7 @@ def train_tfidf_logreg(
     splits = read_splits(spark, data_dir)
     text = resolve_text_column(splits, text_col)
     splits, audits, dropped = _audited(splits, text, None, drop_train_overlap)
-    rows = splits.select("row_id", "split", F.col(text).alias("text"), F.col(label_col).cast("int").alias("label"))
+    rows = splits.select("row_id", "split", F.col(text).alias("text"), binary_label(splits, label_col).alias("label"))
     rows = stage(rows, "labelled-texts")
     train = rows.filter(F.col("split") == "train")
 
@@ -126,7 +150,7 @@ def train_tfidf_logreg(
     documents.save_classifier(fitted, vocab, model_dir)
 
     head = spark.range(1).select(
-        F.lit("TFIDF+LogReg").alias("model"),
+        F.lit(LINEAR_MODEL).alias("model"),
         F.lit(data_dir).alias("data_dir"),
         F.lit(resolve_split_dir(spark, data_dir)).alias("resolved_split_dir"),
         F.lit(text).alias("text_col"),
@@ -147,16 +171,12 @@ def train_tfidf_logreg(
         ),
         _literals("train_shape", {"rows": train.count(), "features": vocab.count()}),
     )
-    summary = side_by_side(
-        head,
-        _packed(dropped, "dropped_eval_rows"),
-        audits,
-        measured,
-    )
+    summary = settled(side_by_side(head, _packed(dropped, "dropped_eval_rows"), audits, measured))
     documents.write_json(summary, join(model_dir, METRICS_NAME))
     return summary
 
 
+@removes_staged
 def encode_sequences(
     spark: SparkSession,
     data_dir: str,
@@ -176,7 +196,8 @@ def encode_sequences(
         raise ValueError(f"missing label column {label_col!r}")
     text = resolve_text_column(splits, text_col)
     splits, audits, dropped = _audited(splits, text, label_col, drop_train_overlap)
-    rows = splits.select("row_id", "split", F.col(text).alias("text"), F.col(label_col).cast("int").alias("label"))
+    rows = splits.select("row_id", "split", F.col(text).alias("text"), binary_label(splits, label_col).alias("label"))
+    rows = stage(rows, "labelled-texts")
     train = rows.filter(F.col("split") == "train")
 
     documents.save_word_vocab(sequences.sequence_vocab(train, cfg, "text"), model_dir)
@@ -190,6 +211,7 @@ def encode_sequences(
     summary = side_by_side(
         spark.range(1).select(
             F.lit(data_dir).alias("data_dir"),
+            F.lit(resolve_split_dir(spark, data_dir)).alias("resolved_split_dir"),
             F.lit(text).alias("text_col"),
             F.lit(label_col).alias("label_col"),
             F.lit(drop_train_overlap).alias("drop_train_overlap_from_eval"),
@@ -210,21 +232,54 @@ def encode_sequences(
     return spark.read.parquet(path)
 
 
+@removes_staged
+def evaluate_sequence_model(
+    spark: SparkSession,
+    model_dir: str,
+    load_fn: Callable[[], Any],
+    predict_fn: Callable,
+    kind: str = "rnn_family",
+    model_name: str | None = None,
+    threshold: float | None = None,
+    batch_size: int = 16,
+) -> DataFrame:
+    """Score the encoded validation and test rows with the caller's trained model.
+
+    Without a threshold the best one is searched on the validation rows alone
+    and applied to both splits. The summary that ``encode_sequences`` wrote is
+    completed by the model's name, the threshold and the metrics, so that later
+    scoring uses both. Returns the summary row.
+    """
+    path = join(model_dir, METRICS_NAME)
+    encoded = spark.read.parquet(join(model_dir, "encoded.parquet")).filter(F.col("split") != "train")
+    logits = model.score_batches(encoded, load_fn, predict_fn, ["split", "label"], batch_size)
+    scored = stage(logits.select("split", "label", softmax_prob(F.col("logits")).alias("prob")), "scores")
+    measured = metrics.evaluate_splits(scored, threshold)
+    saved = documents.read_json(spark, path)
+    earlier = saved.drop("model", *measured.columns)
+    name = F.lit(model_name or SEQUENCE_MODELS[kind]).alias("model")
+    # The file is replaced by what is computed from it.
+    summary = settled(side_by_side(spark.range(1).select(name), earlier, measured))
+    documents.write_json(summary, path)
+    return summary
+
+
 def _write_result(
     scored: DataFrame, threshold: float, target: str, fields: dict, optional: dict
 ) -> DataFrame:
     measured = metrics.evaluate(scored, threshold)
-    row = measured.select(
+    row = settled(measured.select(
         *[F.lit(v).alias(k) for k, v in fields.items()],
         F.lit(threshold).alias("threshold_used"),
         *[F.lit(v).alias(k) for k, v in optional.items()],
         "num_samples",
         "metrics",
-    )
+    ))
     documents.write_json(row, target)
     return row
 
 
+@removes_staged
 def score_and_evaluate(
     spark: SparkSession,
     data_dir: str,
@@ -244,14 +299,14 @@ def score_and_evaluate(
     )
     rows = read_split(spark, data_dir, split_name)
     text = resolve_text_column(rows, text_col)
-    rows = rows.withColumn("label", F.col(label_col).cast("int"))
-    scored = model.predict_prob(rows.select("label", text), fitted, vocab, cfg, text)
+    rows = rows.withColumn("label", binary_label(rows, label_col))
+    scored = model.predict_prob(rows.select("row_id", "label", text), fitted, vocab, cfg, text)
     return _write_result(
         scored,
         model.resolve_threshold(threshold, saved, "tfidf_logreg"),
         target,
         {
-            "model_name": "TFIDF+LogReg",
+            "model_name": LINEAR_MODEL,
             "model_kind": "tfidf_logreg",
             "model_dir": model_dir,
             "data_dir": data_dir,
@@ -263,6 +318,7 @@ def score_and_evaluate(
     )
 
 
+@removes_staged
 def score_sequences_and_evaluate(
     spark: SparkSession,
     data_dir: str,
@@ -278,23 +334,25 @@ def score_sequences_and_evaluate(
     max_len: int | None = None,
     truncate_strategy: str | None = None,
     batch_size: int = 16,
+    model_path: str | None = None,
 ) -> DataFrame:
-    """The same for a sequence model the caller loads; it gets ids and mask."""
+    """The same for a sequence model the caller loads; it gets ids and mask.
+
+    ``model_path`` is where ``load_fn`` finds it, for the record.
+    """
     meta = documents.load_run_config(spark, model_dir)
     saved = meta.get("hyperparameters", {})
-    default_len = 500 if kind == "rnn_family" else 512
     cfg = SequenceConfig(
-        max_len=int(model.resolve_setting(max_len, saved, "max_len", default=default_len)),
+        max_len=int(model.resolve_setting(max_len, saved, "max_len", default=SEQUENCE_LENGTHS[kind])),
         truncate_strategy=str(
             model.resolve_setting(truncate_strategy, saved, "truncate_strategy", default="post")
         ),
     )
     rows = read_split(spark, data_dir, split_name)
     text = resolve_text_column(rows, text_col)
-    rows = rows.select("row_id", F.col(text).alias("text"), F.col(label_col).cast("int").alias("label"))
+    rows = rows.select("row_id", F.col(text).alias("text"), binary_label(rows, label_col).alias("label"))
     encoded = sequences.encode(rows, documents.load_word_vocab(spark, model_dir), cfg, "text")
     scored = model.score_batches(encoded.drop("text"), load_fn, predict_fn, ["label"], batch_size)
-    fallback = "RNN" if kind == "rnn_family" else "HFTransformer"
     used: dict[str, Any] = {"max_len_used": cfg.max_len}
     if kind == "rnn_family":
         used["truncate_strategy"] = cfg.truncate_strategy
@@ -303,9 +361,10 @@ def score_sequences_and_evaluate(
         model.resolve_threshold(threshold, saved, kind),
         target,
         {
-            "model_name": str(meta.get("model", fallback)),
+            "model_name": str(meta.get("model", SEQUENCE_MODELS[kind])),
             "model_kind": kind,
             "model_dir": model_dir,
+            MODEL_PATH_FIELDS[kind]: model_path or model_dir,
             "data_dir": data_dir,
             "split": split_name,
             "text_col": text,
@@ -315,6 +374,7 @@ def score_sequences_and_evaluate(
     )
 
 
+@removes_staged
 def compare(spark: SparkSession, inputs: list[str], json_path: str, csv_path: str) -> DataFrame:
     """Rank result documents, write the comparison and return the best model."""
     results = documents.read_results(spark, inputs)

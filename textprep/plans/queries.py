@@ -277,10 +277,10 @@ def leakage_audit(spark, sf_dir):
     """Before and after dropping leaked rows, one line per split and stage."""
     rows = _presplit(spark, sf_dir)
     texts = stage(audit.texts_by_split(rows, "text"), "texts-by-split")
-    kept = audit.drop_train_overlap(rows, texts, "text")
+    flags = stage(audit.label_flags(rows, "text"), "label-flags")
     stages = {
-        "before": audit.leakage_audit(rows, texts, "text", "label"),
-        "after": audit.leakage_audit(kept, audit.after_drop(texts), "text", "label"),
+        "before": audit.leakage_audit(texts, flags),
+        "after": audit.leakage_audit(audit.after_drop(texts), audit.flags_after_drop(flags)),
     }
 
     def lines(name: str, row: DataFrame) -> DataFrame:

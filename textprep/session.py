@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+# The folder of the job that runs, if it removes what it stages.
+_JOB_FOLDER: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
 
 def build_session(app_name: str = "textprep", master: str | None = None, **conf) -> SparkSession:
@@ -54,7 +59,7 @@ def _application_folder(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new path in the staging folder."""
-    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_JOB_FOLDER.get() or _application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -69,10 +74,33 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Remove this application's staged tables; nothing that reads them works after."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _remove(spark, _application_folder(spark))
+
+
+def removes_staged(job: Callable) -> Callable:
+    """A job whose staged tables are removed when it ends, also by an error.
+
+    Its first argument is the session; what it returns must not read them.
+    """
+
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        folder = staging_path(spark, job.__name__)
+        outer = _JOB_FOLDER.set(folder)
+        try:
+            return job(spark, *args, **kwargs)
+        finally:
+            _JOB_FOLDER.reset(outer)
+            _remove(spark, folder)
+
+    return run
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
