@@ -259,7 +259,9 @@ def evaluate_sequence_model(
     earlier = saved.drop("model", *measured.columns)
     name = F.lit(model_name or SEQUENCE_MODELS[kind]).alias("model")
     # The file is replaced by what is computed from it.
-    summary = settled(side_by_side(spark.range(1).select(name), earlier, measured))
+    row = side_by_side(spark.range(1).select(name), earlier, measured)
+    used = F.col("hyperparameters").withField("threshold_used", F.col("threshold_used"))
+    summary = settled(row.withColumn("hyperparameters", used).drop("threshold_used"))
     documents.write_json(summary, path)
     return summary
 

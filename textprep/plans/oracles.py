@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from textprep.config import SEQUENCE_SEPARATORS
-from textprep.plans.queries import LABEL_SPELLINGS
+from textprep.config import NA_TOKENS, SEQUENCE_SEPARATORS
+from textprep.plans.queries import LABEL_SPELLINGS, NFKC_PAIRS
 
 _W = r"\p{L}\p{N}_"
 _S = r"\s\x0b\x1c-\x1f\x85\p{Z}"
@@ -189,6 +189,19 @@ SELECT row_id, array_to_string(list_concat(ids, list_transform(range(500 - len(i
   array_to_string(list_concat(list_transform(ids, lambda i: 1), list_transform(range(500 - len(ids)), lambda i: 0)), ' ') AS mask FROM filled"""
 
 
+# The vocabulary of the training split, applied to all splits.
+_TRAIN_WORDS = _WORDS.replace("FROM cleaned", "FROM done WHERE split = 'train'")
+_JOB_ENCODED = f"""{_DONE}, {_TRAIN_WORDS}, vocab AS (SELECT * FROM words WHERE id < 2000),
+{_WORDS.split(",\nplaced")[0].replace("lists AS", "all_lists AS").replace("FROM cleaned", "FROM done")},
+cut AS (SELECT row_id, CASE WHEN len(w) <= 500 THEN w ELSE list_concat(w[1:250], w[len(w) - 249:len(w)]) END AS w FROM all_lists),
+word_cells AS (SELECT row_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos FROM cut),
+found AS (SELECT row_id, list(coalesce(id, 1) ORDER BY pos) AS ids FROM word_cells LEFT JOIN vocab USING (term) GROUP BY row_id),
+encoded AS (SELECT done.row_id, done.label, done.split, coalesce(found.ids, []::INT[]) AS ids FROM done LEFT JOIN found USING (row_id))"""
+_JOB_SCORED = f"""{_JOB_ENCODED}, odds AS (SELECT label, split, (coalesce(list_sum(ids), 0)::BIGINT % 1000)::DOUBLE / 250.0::DOUBLE - 2.0::DOUBLE AS z
+  FROM encoded WHERE split <> 'train'),
+scores AS (SELECT label, split, exp(z - greatest(z, 0)) / (exp(0 - greatest(z, 0)) + exp(z - greatest(z, 0))) AS prob FROM odds),
+{_sweep("(SELECT * FROM scores WHERE split = 'val')")}"""
+
 SQL: dict[str, str] = {
     "clean_documents": f"SELECT doc_id AS row_id, {_clean('text')} AS clean_text FROM documents",
     "clean_pages_text": f"SELECT page_id, {_clean('html')} AS clean_text FROM pages",
@@ -223,6 +236,23 @@ SELECT (SELECT count(*) FROM raw) AS rows_before, (SELECT count(label) FROM coer
   FROM rows GROUP BY ALL""",
     "write_read_splits": f"WITH {_DONE} SELECT row_id, label, length(clean_text)::INT AS n_chars FROM done WHERE split = 'test'",
     "prepare_job": f"WITH {_DONE} SELECT row_id, label, split FROM done",
+    "na_tokens": f"""WITH v AS (SELECT doc_id AS row_id, {list((*NA_TOKENS, "na", "Null", " NA", "none", "text"))}[doc_id % {len(NA_TOKENS) + 5} + 1] AS value
+  FROM documents) SELECT row_id, CASE WHEN value NOT IN {NA_TOKENS} THEN value END AS value FROM v""",
+    "nfkc_strings": "SELECT doc_id AS row_id, CASE doc_id % "
+    + f"{len(NFKC_PAIRS)} " + " ".join(f"WHEN {i} THEN '{form}'" for i, (_, form) in enumerate(NFKC_PAIRS)) + " END AS value FROM documents",
+    "report_document": f"""WITH {_DONE}, {_PARTS} SELECT part, count(*) AS num_samples,
+  round(sum(length(clean_text))::DOUBLE / count(*), 6) AS mean_length, (SELECT count(*) FROM labelled) AS rows_read,
+  (SELECT count(*) FROM labelled) - (SELECT count(*) FROM done) AS rows_dropped FROM parts GROUP BY part""",
+    "train_job": f"WITH {_DONE} SELECT split, count(*) AS n, true AS at_minimum FROM done GROUP BY split",
+    "score_job": f"""WITH {_DONE} SELECT 'tfidf_logreg' AS model_kind, 'test' AS split, count(*) AS num_samples,
+  0.5::DOUBLE AS threshold_used, true AS as_in_training FROM done WHERE split = 'test'""",
+    "encode_job": f"""WITH {_JOB_ENCODED} SELECT row_id, label, split,
+  array_to_string(list_concat(ids, list_transform(range(500 - len(ids)), lambda i: 0)), ' ') AS ids FROM encoded""",
+    "evaluate_job": f"WITH {_JOB_SCORED} SELECT round(thr, 6) AS threshold, round(f1, 6) AS best_val_f1 FROM best",
+    "training_table": f"""WITH {_JOB_SCORED}, {_counts("(SELECT label, split, CASE WHEN prob >= thr THEN 1.0 ELSE 0.0 END::DOUBLE AS prob FROM scores, best)", "split")},
+{_auc(by="split").replace("tied AS", "tied_by AS").replace("FROM tied)", "FROM tied_by)")}
+SELECT 'fixed' AS model, split, round({_ACC}, 6) AS accuracy, round({_P1}, 6) AS precision, round({_R1}, 6) AS recall,
+  round({_F1}, 6) AS f1, round(roc_auc, 6) AS roc_auc FROM counts JOIN auc USING (split)""",
     "read_corpus_csv": f"WITH {_LABELLED}, {_CLEANED} SELECT row_id, label, clean_text FROM cleaned",
     "split_overlap": f"WITH {_PRESPLIT}, {_TEXTS} {_overlap()}",
     "split_stats": f"""WITH {_PRESPLIT} SELECT split, count(*) AS rows, count(DISTINCT k) AS unique_texts,
@@ -260,6 +290,7 @@ SELECT round(thr, 6) AS threshold, round(best.f1, 6) AS best_val_f1, round({_F1}
   round({_P1}, 6) AS precision, round({_R1}, 6) AS recall, round({_F1}, 6) AS f1, round(roc_auc, 6) AS roc_auc FROM counts, auc""",
     "rank_models": f"WITH {_BOARD} SELECT model_name, split, num_samples, accuracy, precision, recall, f1, roc_auc FROM board",
     "result_documents": f"WITH {_BOARD} SELECT model_name, split, num_samples, accuracy, precision, recall, f1, roc_auc FROM board",
+    "compare_job": f"WITH {_BOARD} SELECT model_name, split, num_samples, accuracy, precision, recall, f1, roc_auc FROM board",
     "best_model": f"""WITH {_BOARD} SELECT model_name, num_samples, f1, roc_auc FROM board
   ORDER BY f1_full DESC NULLS LAST, auc_full DESC NULLS LAST, model_name LIMIT 1""",
     "metrics_long": f"WITH {_BOARD} "

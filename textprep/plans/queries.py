@@ -8,16 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textprep.config import SPLITS, PrepConfig, SequenceConfig, TfidfConfig
-from textprep.functions.clean import with_clean_text
+from textprep.config import NA_TOKENS, SPLITS, PrepConfig, SequenceConfig, TfidfConfig
+from textprep.functions.clean import normalize_unicode, with_clean_text
 from textprep.functions.labels import coerce_label
 from textprep.functions.scores import softmax_prob
 from textprep.operators import audit, compare, dedup, features, metrics, model, report, sequences, split
 from textprep.operators.prepare import prepare_rows, row_funnel
+from textprep.plans import jobs
 from textprep.plans.jobs import prepare, split_kept
 from textprep.session import spread, stage, staging_path
-from textprep.sources.corpus import read_corpus, read_split, read_splits, write_splits
-from textprep.sources.documents import read_results
+from textprep.sources.corpus import na_to_null, read_corpus, read_split, read_splits, write_splits
+from textprep.sources.documents import load_classifier, read_json, read_results, read_summaries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,14 @@ LABEL_SPELLINGS = (
 )
 
 
+# Strings and their NFKC forms.
+NFKC_PAIRS = (
+    ("\ufb01n", "fin"), ("\uff21\uff22", "AB"), ("\u2460", "1"), ("e\u0301", "\u00e9"), ("\u00e9", "\u00e9"),
+    ("\u1112\u1161\u11ab", "\ud55c"), ("\uff76\uff9e", "\u30ac"), ("\u0438\u0306", "\u0439"), ("\u4e2d\u6587", "\u4e2d\u6587"),
+    ("\u00bd", "1\u20442"), ("plain", "plain"),
+)
+
+
 # --- inputs ---------------------------------------------------------------
 
 
@@ -235,6 +244,49 @@ def prepare_job(spark, sf_dir):
     return read_splits(spark, f"{folder}/out").select("row_id", "label", "split")
 
 
+def _by_row(spark, sf_dir, values: tuple[str, ...]) -> DataFrame:
+    """One of the values for each document, in turn."""
+    place = (F.col("row_id") % len(values)).cast("int") + 1
+    listed = F.array(*[F.lit(v) for v in values])
+    return _documents(spark, sf_dir).select("row_id", F.element_at(listed, place).alias("value"))
+
+
+def na_tokens(spark, sf_dir):
+    """What a CSV reader takes as missing, among strings that only look alike."""
+    looks = (*NA_TOKENS, "na", "Null", " NA", "none", "text")
+    return na_to_null(_by_row(spark, sf_dir, looks))
+
+
+def nfkc_strings(spark, sf_dir):
+    rows = _by_row(spark, sf_dir, tuple(raw for raw, _ in NFKC_PAIRS))
+    return rows.select("row_id", normalize_unicode(F.col("value")).alias("value"))
+
+
+def _prepared_folder(spark, sf_dir) -> str:
+    """The folder the preparation job wrote from the labelled corpus."""
+    folder = staging_path(spark, "prepared")
+    source = f"{folder}/corpus.parquet"
+    _labelled(spark, sf_dir).select(F.col("row_id").alias("id"), "text", "label").write.parquet(source)
+    prepare(spark, source, f"{folder}/split", CFG, row_id="id")
+    return folder
+
+
+def report_document(spark, sf_dir):
+    """The report as the job wrote it, one line per part."""
+    row = read_json(spark, f"{_prepared_folder(spark, sf_dir)}/split/preprocessing_report.json")
+    lines = [
+        F.struct(
+            F.lit(p).alias("part"),
+            F.col(f"num_samples.{p}").alias("num_samples"),
+            F.round(F.col(f"text_length_stats.{p}_mean"), 6).alias("mean_length"),
+            F.col("deduplication.rows_before_preprocessing").alias("rows_read"),
+            F.col("deduplication.rows_dropped").alias("rows_dropped"),
+        )
+        for p in ("full", *SPLITS)
+    ]
+    return row.select(F.explode(F.array(*lines)).alias("r")).select("r.*")
+
+
 def read_corpus_csv(spark, sf_dir):
     """The labelled corpus written as CSV, read as a raw corpus and prepared."""
     folder = staging_path(spark, "corpus") + ".csv"
@@ -391,6 +443,19 @@ def result_documents(spark, sf_dir):
     return _ranked(compare.leaderboard(read_results(spark, [folder])))
 
 
+def compare_job(spark, sf_dir):
+    """The comparison job over result documents; its CSV read back."""
+    folder = staging_path(spark, "compared")
+    results = _results(spark, sf_dir).drop("source_file")
+    document = F.to_json(F.struct(*results.columns), {"ignoreNullFields": "false"})
+    named = results.select(F.md5(F.col("model_name").cast("binary")).alias("of"), document.alias("value"))
+    named.write.partitionBy("of").text(f"{folder}/in")
+    jobs.compare(spark, [f"{folder}/in"], f"{folder}/comparison.json", f"{folder}/comparison.csv")
+    types = ", ".join(f"{m} double" for m in compare.METRICS)
+    schema = f"model_name string, model_kind string, split string, num_samples bigint, threshold_used double, {types}, source_file string"
+    return _ranked(spark.read.schema(schema).option("header", True).csv(f"{folder}/comparison.csv"))
+
+
 def best_model(spark, sf_dir):
     best = compare.best_model(_board(spark, sf_dir))
     return _rounded(best, *compare.METRICS).select("model_name", "num_samples", "f1", "roc_auc")
@@ -477,6 +542,94 @@ def logreg_scores(spark, sf_dir):
     return _rounded(scored.drop("clean_text"), "prob")
 
 
+# No entry of the objective's gradient may be larger, per unit of row weight.
+GRADIENT_BOUND = 1e-4
+
+
+def _largest_gradient(rows: DataFrame, fitted, vocab: DataFrame) -> DataFrame:
+    """The largest entry of the gradient of the objective over the training rows."""
+    n = rows.count()
+    balanced = rows.join(F.broadcast(metrics.class_weights(rows).select("label", "weight")), "label")
+    scored = model.predict_prob(balanced, fitted, vocab, TFIDF)
+    vectors = features.tfidf_vectors(scored, vocab, TFIDF, bias=True).select(
+        (F.col("weight") * (F.col("prob") - F.col("label"))).alias("miss"), F.unwrap_udt("features").alias("v")
+    )
+    cells = vectors.select("miss", F.inline(F.arrays_zip(F.col("v.indices").alias("id"), F.col("v.values").alias("x"))))
+    sums = cells.groupBy("id").agg(F.sum(F.col("miss") * F.col("x")).alias("g"))
+    coefficients = rows.sparkSession.createDataFrame(
+        [(i, float(b)) for i, b in enumerate(fitted.coefficients)], "id int, beta double"
+    )
+    slope = F.abs(F.coalesce(F.col("g"), F.lit(0.0)) + F.col("beta") / TFIDF.c) / n
+    return coefficients.join(sums, "id", "left").agg(F.max(slope).alias("largest"))
+
+
+def train_job(spark, sf_dir):
+    """Train, save and reload: rows per split, and whether the fit is at the minimum."""
+    folder = _prepared_folder(spark, sf_dir)
+    summary = jobs.train_tfidf_logreg(spark, folder, f"{folder}/model", TFIDF, drop_train_overlap=True)
+    fitted, vocab = load_classifier(spark, f"{folder}/model")
+    rows = read_split(spark, folder, "train").select("row_id", "label", "clean_text")
+    largest = _largest_gradient(rows, fitted, vocab).first()["largest"]
+    seen = [
+        F.struct(F.lit(s).alias("split"), F.aggregate(F.flatten(F.col(f"{s}_metrics.confusion_matrix")), F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n"))
+        for s in ("val", "test")
+    ]
+    train = F.struct(F.lit("train").alias("split"), F.col("train_shape.rows").cast("bigint").alias("n"))
+    lines = summary.select(F.explode(F.array(train, *seen)).alias("r")).select("r.*")
+    return lines.withColumn("at_minimum", F.lit(largest <= GRADIENT_BOUND))
+
+
+def score_job(spark, sf_dir):
+    """A saved classifier scores the test split: the figures of the training run."""
+    folder = _prepared_folder(spark, sf_dir)
+    summary = jobs.train_tfidf_logreg(spark, folder, f"{folder}/model", TFIDF)
+    jobs.score_and_evaluate(spark, folder, f"{folder}/model", f"{folder}/result.json")
+    result = read_results(spark, [f"{folder}/result.json"])
+    same = F.round(F.col("metrics.f1"), 6) == F.lit(round(summary.first()["test_metrics"]["f1"], 6))
+    return result.select("model_kind", "split", "num_samples", "threshold_used", same.alias("as_in_training"))
+
+
+ENCODING = SequenceConfig(2000, 500)
+
+
+def _encoded_folder(spark, sf_dir) -> str:
+    folder = _prepared_folder(spark, sf_dir)
+    jobs.encode_sequences(spark, folder, f"{folder}/words", ENCODING)
+    return f"{folder}/words"
+
+
+def encode_job(spark, sf_dir):
+    """All splits encoded with the vocabulary of the training split."""
+    rows = spark.read.parquet(f"{_encoded_folder(spark, sf_dir)}/encoded.parquet")
+    return rows.select("row_id", "label", "split", _joined(F.col("ids")).alias("ids"))
+
+
+def _evaluated(spark, sf_dir) -> str:
+    """A fixed scorer in place of a network, evaluated on the encoded splits."""
+
+    def predict(scale, rows):
+        return [[0.0, sum(ids) % 1000 / scale - 2.0] for ids in rows["ids"]]
+
+    folder = _encoded_folder(spark, sf_dir)
+    jobs.evaluate_sequence_model(spark, folder, lambda: 250.0, predict, model_name="fixed")
+    return f"{folder}/metrics.json"
+
+
+def evaluate_job(spark, sf_dir):
+    """The threshold found on the validation split, as the summary records it."""
+    row = read_json(spark, _evaluated(spark, sf_dir)).select(
+        F.col("hyperparameters.threshold_used").alias("threshold"),
+        F.col("val_threshold_search.best_f1_at_threshold").alias("best_val_f1"),
+    )
+    return _rounded(row, "threshold", "best_val_f1")
+
+
+def training_table(spark, sf_dir):
+    """Validation and test metrics of a run summary, one row per split."""
+    table = compare.training_table(read_summaries(spark, [_evaluated(spark, sf_dir)]))
+    return _rounded(table.drop("source_file"), *compare.METRICS)
+
+
 def score_batches(spark, sf_dir):
     """Any model of the caller, here one scoring a text by its length."""
 
@@ -512,6 +665,9 @@ REGISTRY: dict[str, Query] = {
     "write_read_splits": write_read_splits,
     "read_corpus_csv": read_corpus_csv,
     "prepare_job": prepare_job,
+    "na_tokens": na_tokens,
+    "nfkc_strings": nfkc_strings,
+    "report_document": report_document,
     "split_overlap": split_overlap,
     "split_stats": split_stats,
     "overlap_label_conflicts": overlap_label_conflicts,
@@ -529,6 +685,7 @@ REGISTRY: dict[str, Query] = {
     "checkpoint_metrics": checkpoint_metrics,
     "rank_models": rank_models,
     "result_documents": result_documents,
+    "compare_job": compare_job,
     "best_model": best_model,
     "metrics_long": metrics_long,
     "term_stats": term_stats,
@@ -540,5 +697,10 @@ REGISTRY: dict[str, Query] = {
     "encode_sequences_head_tail": encode_sequences_head_tail,
     "encode_sequences_post": encode_sequences_post,
     "logreg_scores": logreg_scores,
+    "train_job": train_job,
+    "score_job": score_job,
+    "encode_job": encode_job,
+    "evaluate_job": evaluate_job,
+    "training_table": training_table,
     "score_batches": score_batches,
 }
