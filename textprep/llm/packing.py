@@ -38,7 +38,8 @@ class Ids:
     """Token ids of a text by the vocabulary's JSON file.
 
     Texts of Latin script take a faster library with the same vocabulary and
-    rules; all others go through the reference tokenizer.
+    rules; all others go through the reference tokenizer, and so do those with
+    runs of white space too long for the faster one.
     """
 
     def __init__(self, vocabulary: str = VOCABULARY):
@@ -51,9 +52,12 @@ class Ids:
         )
 
     def __call__(self, text: str) -> np.ndarray:
-        if _FAR.search(text):
-            return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4")
-        return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4")
+        if not _FAR.search(text):
+            try:
+                return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4")
+            except ValueError:  # a run of white space beyond its stack
+                pass
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 def tokenised_pieces(
