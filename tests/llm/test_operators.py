@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -81,6 +82,7 @@ def test_quality_rules(docs, odd, empty):
                 seen.add(line)
         r = got[i]
         assert (r["n_words"], r["word_chars"], r["n_repeat_words"], r["n_dup_lines"]) == (len(w), sum(map(len, w)), len(covered), repeated)
+        assert r["n_symbols"] == len(re.findall(r"[#*$%&|<>]", t))
         assert r["base_failed"] == (len(w) < 50 or 100 * len(covered) > 50 * len(w))
     assert quality_rules.judge(odd).count() == len(ODD) and quality_rules.judge(empty).count() == 0
     assert quality_rules.keep_good(odd).columns == odd.columns
@@ -204,6 +206,15 @@ def test_packing(docs, odd, empty):
     rows = packing.pack(docs).collect()
     tokens = sum(r["length"] for r in rows)
     assert check_packed(rows) <= 1.02 * -(-tokens // 1024)
+    encode, want = packing.Ids().slow.encode, []
+    for i, t in texts(docs).items():
+        ids = np.array([*encode(t, add_special_tokens=False).ids, 2], "<u4")
+        start = piece = 0
+        while start < len(ids):
+            stop = start + (len(ids) % 1024 or 1024 if start == 0 else 1024)
+            want.append((i, piece, start, stop - start, zlib.crc32(ids[start:stop].tobytes())))
+            start, piece = stop, piece + 1
+    assert sorted(tuple(r)[:5] for r in rows) == sorted(want)
     found = packing.pack(odd).collect()
     check_packed(found)
     assert len({r["doc_id"] for r in found}) == 9 and packing.pack(empty).count() == 0
@@ -214,6 +225,8 @@ def test_both_tokenizers_agree():
     sample = ["".join(f"a{chr(c)}{chr(c)} {chr(c)}1 " for c in range(a, a + 32)) for a in range(0, 0x250, 32)]
     for text in [*sample, "<|endoftext|> x", " \n\n  y", "don't I'LL"]:
         assert ids.fast.encode(text, allowed_special="all") == ids.slow.encode(text, add_special_tokens=False).ids
+    for text in ("\n" * 1_000_000, "a" + " " * 1_000_000 + "b", "x" * 300_000):
+        assert ids(text).tolist() == ids.slow.encode(text, add_special_tokens=False).ids
 
 
 def test_classifiers_on_held_out_rows(spark, docs, odd, empty):
@@ -222,6 +235,8 @@ def test_classifiers_on_held_out_rows(spark, docs, odd, empty):
     for score, label, least in ((toxicity.score_toxicity, "toxic", 0.9), (quality_classifier.score_quality, "quality", 0.9)):
         found = score(large, labels).join(labels, "doc_id").filter("held_out").select(label, "predicted").collect()
         assert np.mean([r[0] == r[1] for r in found]) > least
+        if label == "toxic":
+            assert np.mean([r[1] for r in found if r[0]]) > 0.7 and np.mean([r[1] for r in found if not r[0]]) < 0.02
         assert score(odd, labels).filter("score between 0 and 1").count() == len(ODD)
         assert score(empty, labels).count() == 0 and score(odd, labels.limit(0)).count() == len(ODD)
 

@@ -21,7 +21,7 @@ def windows(text: bytes, size: int) -> list[bytes]:
     return [text[i : i + size] for i in range(0, len(text), size)]
 
 
-def _grams(text: bytes, n: int = GRAM) -> np.ndarray:
+def _grams(text: bytes, n: int) -> np.ndarray:
     """The distinct n-byte strings of a text as integers."""
     data = np.frombuffer(text, np.uint8).astype(np.int64)
     if len(data) < n:
@@ -32,9 +32,9 @@ def _grams(text: bytes, n: int = GRAM) -> np.ndarray:
     return np.unique(code)
 
 
-def _document_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct strings of the texts, sorted, and in how many texts each occurs."""
-    found = [_grams(t) for t in texts]
+def _document_counts(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-byte strings of the texts, sorted, and in how many texts each occurs."""
+    found = [_grams(t, n) for t in texts]
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     return np.unique(np.concatenate(found), return_counts=True)
@@ -54,36 +54,36 @@ def _joined(grams: list[bytes]) -> list[bytes]:
             continue
         del unused[g]
         segment = g
-        while len(segment) < 32 and (after := next((x for x in starts.get(segment[1 - GRAM :], ()) if x in unused), None)):
+        while len(segment) < 32 and (after := next((x for x in starts.get(segment[1 - len(g) :], ()) if x in unused), None)):
             del unused[after]
             segment += after[-1:]
-        while len(segment) < 32 and (before := next((x for x in ends.get(segment[: GRAM - 1], ()) if x in unused), None)):
+        while len(segment) < 32 and (before := next((x for x in ends.get(segment[: len(g) - 1], ()) if x in unused), None)):
             del unused[before]
             segment = before[:1] + segment
         segments.append(segment)
     return segments
 
 
-def _inside_words(grams: np.ndarray) -> np.ndarray:
+def _inside_words(grams: np.ndarray, n: int) -> np.ndarray:
     """Whether all bytes but the first and the last belong to letters or digits."""
     fits = np.ones(len(grams), bool)
-    for i in range(1, GRAM - 1):
+    for i in range(1, n - 1):
         b = (grams >> (8 * i)) & 255
         fits &= ((b | 32) >= 97) & ((b | 32) <= 122) | (b >= 128) | (b >= 48) & (b <= 57)
     return fits
 
 
 def contrast_segments(
-    of: list[bytes], against: list[bytes], lift: float, words_only: bool, most: int = SEGMENTS
+    of: list[bytes], against: list[bytes], lift: float, words_only: bool, most: int = SEGMENTS, gram: int = GRAM
 ) -> bytes:
-    """Segments that occur in many texts of ``of`` and rarely in ``against``.
+    """Segments of ``gram`` bytes (at most 7) or more that occur in many texts of ``of`` and rarely in ``against``.
 
     Only strings whose share of texts is over e^lift times that of the other
     class count. The most telling come last, where the coder reaches them at the
     least cost.
     """
-    grams, counts = _document_counts(of)
-    others, other_counts = _document_counts(against)
+    grams, counts = _document_counts(of, gram)
+    others, other_counts = _document_counts(against, gram)
     if not len(grams):
         return b""
     place = np.searchsorted(others, grams)
@@ -91,10 +91,10 @@ def contrast_segments(
     elsewhere = np.where(others[place] == grams, other_counts[place], 0) if len(others) else np.zeros(len(grams))
     rate, other_rate = counts / len(of), (elsewhere + 0.5) / (len(against) + 1)
     gain = np.log(rate / other_rate)
-    fits = _inside_words(grams) if words_only else np.ones(len(grams), bool)
+    fits = _inside_words(grams, gram) if words_only else np.ones(len(grams), bool)
     weight = np.where(fits & (counts >= max(3, 0.01 * len(of))) & (gain > lift), rate * gain, 0.0)
     order = np.argsort(-weight, kind="stable")[:most]
-    chosen = [int(grams[i]).to_bytes(GRAM, "big") for i in order if weight[i] > 0]
+    chosen = [int(grams[i]).to_bytes(gram, "big") for i in order if weight[i] > 0]
     return b"\n".join(reversed(_joined(chosen)))
 
 

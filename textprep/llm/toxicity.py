@@ -1,9 +1,11 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries hold what sets toxic and ordinary text apart. Each
-window of a text is compressed with both; where the toxic dictionary saves
-bytes, the window resembles toxic text. Calibrated on the training sample, the
-savings of all windows give the score of the document.
+Zstandard dictionaries hold what sets toxic and ordinary text apart, one pair of
+them short strings found nearly nowhere else, a second pair longer and merely
+typical ones. Each window of a text is compressed with both dictionaries of a
+pair; where the toxic one saves bytes, the window resembles toxic text.
+Calibrated on the training sample, the savings of all windows give the score of
+the document.
 """
 
 from __future__ import annotations
@@ -18,36 +20,59 @@ WINDOW = 128
 # The run of one byte makes every window compressible, so that zstandard never
 # stores it as it is and each saved byte shows.
 FILLER = b"\n" * 40
-CODER = {"strategy": 3, "min_match": 5, "search_log": 3}
+# Per pair: bytes of a string and of the shortest match, how typical a string has
+# to be, and the saving from which a window counts.
+PAIRS = ((5, 4.0, 2), (7, 2.0, 3))
+# With these two values zstandard never entropy-codes literals, so what a window
+# saves is what the dictionary matched.
+CODER = {"strategy": 1, "target_length": 1}
 TRAIN = {1: 1500, 0: 3000}
 MAX_CHARS = 20_000
 FOLDS, HELD = 5, 0
 
 
-def _features(texts: list[str], toxic: Coder, ordinary: Coder) -> np.ndarray:
-    rows = np.zeros((len(texts), 7))
-    for i, text in enumerate(texts):
-        parts = [w + FILLER for w in windows(text.lower().encode(), WINDOW)]
-        if not parts:
-            continue
+class Savings:
+    """What the toxic dictionary of each pair saves on the windows of a text."""
+
+    def __init__(self, pairs: list[tuple[bytes, bytes]]):
+        self.coders = [
+            (*(Coder(content, min_match=gram, **CODER) for content in pair), clear)
+            for pair, (gram, _, clear) in zip(pairs, PAIRS)
+        ]
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        rows = np.zeros((len(texts), 6 * len(self.coders) + 1))
+        for i, text in enumerate(texts):
+            parts = [w + FILLER for w in windows(text.lower().encode(), WINDOW)]
+            if parts:
+                measures = [m for coders in self.coders for m in self._measures(parts, *coders)]
+                rows[i] = *measures, np.log1p(len(parts))
+        return rows
+
+    @staticmethod
+    def _measures(parts: list[bytes], toxic: Coder, ordinary: Coder, clear: int) -> tuple:
         saved = np.sort(np.maximum(ordinary.lengths(parts) - toxic.lengths(parts), 0))[::-1]
-        n, clear = len(parts), saved[saved >= 2].sum()
-        second = saved[1] if n > 1 else 0
-        rows[i] = (
-            np.log1p(clear), clear / n, (saved >= 1).sum() / n, (saved >= 2).sum() / n,
-            np.sqrt(saved[0]), np.sqrt(second), np.log1p(n),
+        total = saved[saved >= clear].sum()
+        second = saved[1] if len(saved) > 1 else 0
+        return (
+            np.log1p(total), total / len(saved), (saved >= 1).mean(), (saved >= clear).mean(),
+            np.sqrt(saved[0]), np.sqrt(second),
         )
-    return rows
 
 
-def fit(sample: list[tuple[str, int]]) -> tuple[bytes, bytes, np.ndarray]:
-    """The contents of both dictionaries and the calibration weights."""
+def fit(sample: list[tuple[str, int]]) -> tuple[list[tuple[bytes, bytes]], np.ndarray]:
+    """The contents of the toxic and the ordinary dictionary of each pair, and the calibration weights."""
     toxic = [t.lower().encode() for t, y in sample if y == 1]
     ordinary = [t.lower().encode() for t, y in sample if y == 0]
-    first = contrast_segments(toxic, ordinary, lift=4.0, words_only=True)
-    second = contrast_segments(ordinary, toxic, lift=1.0, words_only=True)
-    x = _features([t for t, _ in sample], Coder(first, **CODER), Coder(second, **CODER))
-    return first, second, fit_logistic(x, np.array([y for _, y in sample], float))
+    pairs = [
+        (
+            contrast_segments(toxic, ordinary, lift=lift, words_only=True, gram=gram),
+            contrast_segments(ordinary, toxic, lift=1.0, words_only=True, gram=gram),
+        )
+        for gram, lift, _ in PAIRS
+    ]
+    x = Savings(pairs)([t for t, _ in sample])
+    return pairs, fit_logistic(x, np.array([y for _, y in sample], float))
 
 
 def score_toxicity(
@@ -68,10 +93,10 @@ def score_toxicity(
     result.
     """
     sample, _ = labelled_sample(docs, labels, "toxic", folds, held, train, max_chars)
-    first, second, weights = fit(sample)
+    pairs, weights = fit(sample)
 
     def start():
-        toxic, ordinary = Coder(first, **CODER), Coder(second, **CODER)
-        return lambda texts: probability(_features(texts, toxic, ordinary), weights)
+        savings = Savings(pairs)
+        return lambda texts: probability(savings(texts), weights)
 
     return scored(docs, folds, held, start, 0.5)
