@@ -92,7 +92,47 @@ QUERIES = {
 }
 
 
+def _license_sql() -> str:
+    """Dice over word bigrams of all candidates and templates that share one."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    templates = ", ".join(f"({k}, {quoted(name)}, {quoted(body)})" for k, (name, body) in enumerate(licenses.TEMPLATES))
+    return rf"""
+        WITH t AS (
+            SELECT rank, name, regexp_extract_all(lower(body), '[\p{{L}}\p{{N}}]+') AS w FROM (VALUES {templates}) v(rank, name, body)
+        ),
+        tg AS (SELECT DISTINCT rank, name, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i+1])) AS g FROM t),
+        tn AS (SELECT rank, any_value(name) AS name, count(*) AS n FROM tg GROUP BY rank),
+        pieces AS (
+            SELECT DISTINCT ON (doc_id, piece) doc_id, piece, pos FROM (
+                SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS pos FROM (
+                    SELECT doc_id, list_concat(string_split_regex(c, '\r?\n'),
+                        list_filter(string_split_regex(c, '\r?\n[\x20\x09\x0B-\x0D]*\r?\n[\x20\x09-\x0D]*'), lambda b: contains(b, chr(10)))) AS p
+                    FROM (SELECT doc_id, coalesce(text, '') AS c FROM documents)
+                )
+            ) WHERE length(piece) > 1 ORDER BY doc_id, piece, pos
+        ),
+        worded AS (SELECT doc_id, piece, pos, regexp_extract_all(lower(piece), '[\p{{L}}\p{{N}}]+') AS w FROM pieces),
+        pg AS (SELECT DISTINCT doc_id, piece, pos, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i+1])) AS g FROM worded),
+        pn AS (SELECT doc_id, pos, any_value(piece) AS piece, count(*) AS m FROM pg GROUP BY doc_id, pos),
+        shared AS (SELECT doc_id, pos, rank, count(*) AS o FROM pg JOIN tg USING (g) GROUP BY ALL),
+        best AS (
+            SELECT doc_id, pos, piece, name, rank, 2.0::DOUBLE * o / (m + n) AS d FROM shared JOIN pn USING (doc_id, pos) JOIN tn USING (rank)
+            WHERE 2.0::DOUBLE * o / (m + n) >= {licenses.MIN_DICE}::DOUBLE
+            QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY d DESC, rank) = 1
+        ),
+        found AS (
+            SELECT doc_id, count(*) AS n_statements, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses,
+                arg_min(struct_pack(name := name, d := d, piece := piece), struct_pack(d := -d, rank := rank, pos := pos)) AS top
+            FROM best GROUP BY doc_id
+        )
+        SELECT doc_id, f.top.name AS license, round(coalesce(f.top.d, 0), 6) AS dice, coalesce(n_statements, 0) AS n_statements,
+            coalesce(licenses, '') AS licenses, f.top.piece AS statement
+        FROM documents LEFT JOIN found f USING (doc_id)
+    """
+
+
 SQL: dict[str, str] = {
+    "op10_license_scan": _license_sql(),
     "op1_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
