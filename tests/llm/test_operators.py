@@ -257,6 +257,46 @@ def test_licenses(spark, odd, empty):
     assert licenses.scan_licenses(odd).count() == len(ODD) and licenses.scan_licenses(empty).count() == 0
 
 
+def brute_windows(text, min_dice):
+    """The best coefficient of any window of a text, over all windows and templates."""
+    words, best = re.findall(r"[a-z0-9]+", text.lower()), 0.0
+    pairs = list(zip(words, words[1:]))
+    for _, body in licenses.TEMPLATES:
+        want = {tuple(g.split()) for g in licenses.template_bigrams(body)}
+        most = int(len(want) * (2 - min_dice) / min_dice + 1e-9)
+        for a in range(len(pairs)):
+            for b in range(a + 1, min(len(pairs), a + most) + 1):
+                own = set(pairs[a:b])
+                best = max(best, 2 * len(own & want) / (len(own) + len(want)))
+    return best if best >= min_dice else 0.0
+
+
+def test_licenses_among_other_words(spark):
+    mit, gpl = licenses._MIT, licenses._GPL.format(3)
+    wrapped = "\n".join(re.findall(r".{1,60}(?: |$)", mit))
+    header = "/*\n * acme.c of acme\n *\n" + "".join(f" * {x}\n" for x in re.findall(r".{1,50}(?: |$)", licenses._APACHE)) + " *\n * other words of the header here\n */\nint x;"
+    want = {
+        1: ("This project is licensed under the MIT License.", "MIT", "licensed under the MIT License"),
+        2: ("The code in this repository is released under the MIT License.", "MIT", "released under the MIT License"),
+        3: ("Licensed under the MIT License. See LICENSE for details.", "MIT", "Licensed under the MIT License"),
+        4: ("We think that it is fine. It is licensed under CC BY-SA 4.0, and nothing else is to be said.", "CC-BY-SA-4.0", "licensed under CC BY-SA 4.0"),
+        5: (f"Many words come first in this long paragraph.\nAnd then {wrapped}\nand more words\nof the same paragraph follow " + LONG[:900], "MIT", None),
+        6: (header, "Apache-2.0", None),
+        7: ("\n".join(f"# {x}" for x in re.findall(r".{1,40}(?: |$)", LONG[:600] + gpl + " " + LONG[:600])), "GPL-3.0", None),
+        8: ("Licensed under the", None, None),
+        9: ("It was released under the bridge, with mit and license apart.", None, None),
+    }
+    got = rows_by_id(licenses.scan_licenses(spark.createDataFrame([(i, t) for i, (t, _, _) in want.items()], "doc_id bigint, text string")))
+    for i, (text, name, statement) in want.items():
+        assert got[i]["license"] == name, i
+        assert abs(got[i]["dice"] - brute_windows(text, licenses.MIN_DICE)) < 1e-9
+        if statement:
+            assert (got[i]["statement"], got[i]["n_statements"]) == (statement, 1)
+    two = "This is Released under the MIT License. The rest is licensed under CC BY-NC 4.0 today.\nReleased under the MIT License."
+    row = licenses.scan_licenses(spark.createDataFrame([(1, two)], "doc_id bigint, text string")).first()
+    assert (row["n_statements"], row["licenses"], row["statement"]) == (2, "CC-BY-NC-4.0,MIT", "Released under the MIT License.")
+
+
 def test_pipeline(spark, docs):
     kept, columns = docs, docs.columns
     for name, function in corpus_pipeline.STAGES[:3]:

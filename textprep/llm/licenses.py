@@ -1,4 +1,4 @@
-"""Find licence statements: lines and blocks compared with licence templates.
+"""Find licence statements: lines, blocks and word windows compared with licence templates.
 
 Everything happens inside the row: no shuffle, and the templates are literals of
 the plan (their number and size are fixed).
@@ -6,6 +6,8 @@ the plan (their number and size are fixed).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,12 @@ from textprep.llm.columns import whole
 
 MIN_DICE = 0.8
 
+# Rank of the first window among the candidates of a text, past any line or block.
+AFTER = 1 << 30
+
+# Words of templates that many texts of no licence have.
+COMMON = frozenset("a by in is of on or the this to under was with work".split())
+
 _MIT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
     "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
@@ -95,6 +103,104 @@ def template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(" ".join(p) for p in zip(words, words[1:])))
 
 
+def telling_words(grams: list[str], need: int) -> list[str]:
+    """Words of which one is in every set that holds ``need`` of the bigrams; long words first, common ones last."""
+    left, chosen = set(grams), []
+    for word in sorted({w for g in grams for w in g.split()}, key=lambda w: (w in COMMON, -len(w), w)):
+        if len(left) < need:
+            break
+        chosen.append(word)
+        left = {g for g in left if word not in g.split()}
+    return chosen
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def windows(content: Column, known: list[tuple[str, list[str]]], min_dice: float) -> Column:
+    """Statements anywhere in the words of a text: structs of best (dice, order, name) and piece, best first.
+
+    A window begins and ends with a bigram of the template, which loses no
+    statement, as any other bigram at an end only lowers the coefficient. Of
+    windows that share words the best is taken. Only texts with a word without
+    which no template can be reached are split into words.
+    """
+    low = min_dice / (2 - min_dice)
+    shelf = F.array(
+        *[
+            F.struct(
+                F.lit(-k).alias("order"),
+                F.lit(name).alias("name"),
+                F.lit(len(grams)).alias("n"),
+                F.lit(math.ceil(low * len(grams) - 1e-9)).alias("need"),
+                F.lit(math.floor(len(grams) / low + 1e-9)).alias("most"),
+                F.array(*[F.lit(g) for g in grams]).alias("grams"),
+            )
+            for k, (name, grams) in enumerate(known)
+        ]
+    )
+    every = sorted({g for _, grams in known for g in grams})
+    telling = {w for _, grams in known for w in telling_words(grams, math.ceil(low * len(grams) - 1e-9))}
+    long = {w for w in telling if len(w) > 5}
+    short = sorted(telling - long)
+
+    def told(lower: Column) -> Column:
+        guard = F.lit(False)
+        for word in sorted(w for w in long if not any(o != w and o in w for o in long)):
+            guard = guard | F.contains(lower, F.lit(word))
+        for word in short:
+            guard = guard | lower.rlike(rf"{word}(?![\p{{L}}\p{{N}}])(?<![\p{{L}}\p{{N}}]{word})")
+        return guard
+
+    def of_words(units: Column) -> Column:
+        words = F.transform(units, lambda u: F.regexp_extract(F.lower(u), r"^[\p{L}\p{N}]+", 0))
+        pairs = _let(words, lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1))))
+        return _let(pairs, lambda grams: of_pairs(units, grams))
+
+    def of_pairs(units: Column, grams: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda i: F.get(grams, i).isin(every))
+        found = _let(places, lambda at: F.flatten(F.transform(shelf, lambda t: _let(
+            F.filter(at, lambda i: F.array_contains(t["grams"], F.get(grams, i))),
+            lambda hits: F.flatten(F.transform(hits, lambda start, j: F.filter(
+                F.transform(
+                    F.filter(F.slice(hits, j + t["need"], t["most"]), lambda end: end - start < t["most"]),
+                    lambda end: _let(
+                        F.array_distinct(F.slice(grams, start + 1, end - start + 1)),
+                        lambda own: F.struct(
+                            (2.0 * F.size(F.array_intersect(own, t["grams"])) / (F.size(own) + t["n"])).alias("dice"),
+                            t["order"].alias("order"),
+                            (-start).alias("start"),
+                            end.alias("end"),
+                            t["name"].alias("name"),
+                        ),
+                    ),
+                ),
+                lambda m: m["dice"] >= min_dice,
+            ))),
+        ))))
+        chosen = F.aggregate(
+            F.sort_array(found, asc=False),
+            F.array().cast("array<struct<dice:double,order:int,start:int,end:int,name:string>>"),
+            lambda taken, m: F.when(
+                F.exists(taken, lambda o: (-o["start"] <= m["end"] + 1) & (-m["start"] <= o["end"] + 1)), taken
+            ).otherwise(F.concat(taken, F.array(m))),
+        )
+        return F.array_distinct(
+            F.transform(
+                chosen,
+                lambda m: F.struct(
+                    F.struct(m["dice"].alias("dice"), m["order"].alias("order"), m["name"].alias("name")).alias("best"),
+                    F.regexp_replace(F.array_join(F.slice(units, 1 - m["start"], m["end"] + m["start"] + 2), ""), r"[^\p{L}\p{N}]+$", "").alias("piece"),
+                ),
+            )
+        )
+
+    units = F.regexp_extract_all(content, F.lit(r"[\p{L}\p{N}]+[^\p{L}\p{N}]*"), F.lit(0))
+    return F.when(_let(F.lower(content), told), _let(units, lambda u: F.when(F.size(u) >= 2, of_words(u))))
+
+
 def scan_licenses(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -111,8 +217,13 @@ def scan_licenses(
     into words: a candidate with c characters has at most c / 2 bigrams, and one
     with fewer than the smallest template needs is passed over.
 
+    Statements with other words around them, sentences of a line, notices wrapped
+    over lines and commented headers are found by ``windows`` over the words of
+    the whole text, with the same bounds on the number of neighbouring pairs. A
+    window inside a matching line or block of the same licence is part of it.
+
     ``license`` and ``dice`` are the best match (ties: the template named first,
-    then the earlier candidate), ``statement`` its text, ``n_statements`` the
+    then lines and blocks before windows, then the earlier candidate), ``statement`` its text, ``n_statements`` the
     number of distinct matching candidates and ``licenses`` the sorted distinct
     licences they match best. Without a match they are null, 0.0, null, 0 and
     empty. Null, empty and blank texts have no match. Repeated rows and null ids
@@ -138,20 +249,22 @@ def scan_licenses(
     blocks = F.filter(F.split("content", r"\r?\n[\x20\x09\x0B-\x0D]*\r?\n\s*"), lambda b: F.instr(b, "\n") > 0)
     pieces = content.select(
         "doc_id",
+        "content",
         F.filter(F.array_distinct(F.concat(lines, blocks)), lambda p: F.length(p) >= 2 * fewest).alias("pieces"),
     )
-    worded = pieces.select("doc_id", F.transform("pieces", lambda p: F.struct(p.alias("piece"), tokens(p).alias("words"))).alias("pieces"))
+    worded = pieces.select("doc_id", "content", F.transform("pieces", lambda p: F.struct(p.alias("piece"), tokens(p).alias("words"))).alias("pieces"))
     most = max(len(grams) for _, grams in known) / low
     # A text with more words than bigrams is possible only by repetition, so the
     # upper bound is applied to the distinct pairs, the lower one to the words.
     paired = worded.select(
         "doc_id",
+        "content",
         F.transform(
             F.filter("pieces", lambda p: F.size(p["words"]) - 1 >= fewest),
             lambda p: F.struct(p["piece"].alias("piece"), bigrams(p["words"]).alias("grams")),
         ).alias("pieces"),
     )
-    sized = paired.select("doc_id", F.filter("pieces", lambda p: F.size(p["grams"]).between(fewest, most)).alias("pieces"))
+    sized = paired.select("doc_id", "content", F.filter("pieces", lambda p: F.size(p["grams"]).between(fewest, most)).alias("pieces"))
     shelved = sized.withColumn("shelf", shelf)
 
     def best(p: Column) -> Column:
@@ -171,12 +284,20 @@ def scan_licenses(
 
     matched = shelved.select(
         "doc_id",
+        "content",
         F.filter(
             F.transform("pieces", lambda p, i: F.struct(best(p).alias("best"), (-i).alias("at"), p["piece"].alias("piece"))),
             lambda m: m["best"]["dice"] >= min_dice,
         ).alias("found"),
     )
-    top = matched.withColumn("top", F.array_max("found"))
+
+    def joined(found: Column, spread: Column) -> Column:
+        own = F.filter(spread, lambda w: ~F.exists(found, lambda m: (m["best"]["name"] == w["best"]["name"]) & F.contains(m["piece"], w["piece"])))
+        return F.concat(found, F.transform(own, lambda w, i: F.struct(w["best"].alias("best"), (-AFTER - i).alias("at"), w["piece"].alias("piece"))))
+
+    spread = windows(F.col("content"), known, min_dice)
+    both = _let(F.struct(F.col("found").alias("found"), spread.alias("spread")), lambda x: F.when(x["spread"].isNull(), x["found"]).otherwise(joined(x["found"], x["spread"])))
+    top = matched.select("doc_id", both.alias("found")).withColumn("top", F.array_max("found"))
     return top.select(
         "doc_id",
         F.col("top")["best"]["name"].alias("license"),
