@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -154,6 +155,36 @@ def test_suffix_dedup(docs, odd, empty, crowd, monkeypatch):
     assert suffix_dedup.repeated_spans(empty).count() == 0
 
 
+@pytest.mark.parametrize("held", [1_000_000, 20_000])
+def test_suffix_dedup_hot_passage(spark, docs, held, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HELD_STRINGS", held)
+    rng = np.random.default_rng(3)
+    passage = rng.integers(97, 123, 300, np.uint8).tobytes()
+    texts_ = [rng.integers(97, 123, 400, np.uint8).tobytes() + passage + rng.integers(97, 123, 400, np.uint8).tobytes() for _ in range(300)]
+    places = [suffix_dedup.anchors(np.frombuffer(t, np.uint8), 200, 50)[0] for t in texts_]
+    spots = [[{"at": int(p), "crowded": True} for p in at if 350 < p < 700] for at in places]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "mark": [0] * 300, "text": [t.decode() for t in texts_], "spots": spots})
+    def in_cells(hot):
+        rows = pa.Table.from_batches(suffix_dedup._context_rows(200, 50, hot)([batch])).to_pylist()
+        return rows, collections.Counter(r["cell"] for r in rows if r["kind"] == 0)
+
+    crowds = in_cells(frozenset())[1]
+    rows, cells = in_cells(frozenset(c for c, n in crowds.items() if n > 50))
+    # No large group of contexts to sort, and a string is sent once for all its places.
+    assert max(crowds.values()) > 250 and max(cells.values(), default=0) <= 50
+    sent = collections.Counter((r["cell"], r["context"]) for r in rows if r["kind"] == 2)
+    assert max(sent.values()) <= sum(map(len, spots)) * 151 // held + 1
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    got = rows_by_id(suffix_dedup.repeated_spans(spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts_)], "doc_id bigint, text string").repartition(4)))
+    count = collections.Counter(t[p : p + 200] for t in texts_ for p in range(len(t) - 199))
+    for i, text in enumerate(texts_):
+        starts = [p for p in range(len(text) - 199) if count[text[p : p + 200]] > 1]
+        assert got[i]["spans"] == [[starts[0], starts[-1] + 200]] and len(starts) == starts[-1] - starts[0] + 1
+    want = rows_by_id(suffix_dedup.repeated_spans(docs))
+    monkeypatch.setattr(suffix_dedup, "HOT", 1)
+    assert rows_by_id(suffix_dedup.repeated_spans(docs)) == want
+
+
 @given(st.lists(st.tuples(st.integers(0, 3), st.binary(max_size=40).map(lambda b: bytes(x % 3 for x in b))), min_size=1, max_size=40))
 def test_deep_shallow_sort(rows):
     groups, strings = np.array([g for g, _ in rows]), [s for _, s in rows]

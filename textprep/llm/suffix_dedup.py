@@ -11,6 +11,12 @@ A cell of more than CROWD anchors is split by content: its strings are dealt to
 levels by their offset, and a level's cells are keyed by all the bytes its
 strings have in common. Equal contexts of such anchors are combined in each
 task before the shuffle.
+
+Levels do not split the contexts of a passage shared by very many texts, as those
+differ only outside of what their strings have in common. Cells of more than
+about HOT rows are found from one row in SAMPLE, which decides only the way. Each
+string of such a cell goes alone, as a 128-bit hash: equal hashes are combined in
+each task before the shuffle and then counted, without any sorting.
 """
 
 from __future__ import annotations
@@ -31,6 +37,10 @@ LENGTH = 200
 ANCHOR = 50
 SEGMENT = 1 << 20
 CROWD = 1_000
+HOT = 20_000
+SAMPLE = 16
+HELD_STRINGS = 100_000
+BATCH_ROWS = 20_000
 CHUNK_ROWS = 4_000
 BROADCAST_SPANS = 2_000_000
 
@@ -97,7 +107,39 @@ def _anchor_rows(length: int, size: int):
     return run
 
 
-def _context_rows(length: int, size: int):
+def _cell(text: bytes, at: int, low: int, high: int, length: int) -> int:
+    """The cell of a level: what all its strings have in common."""
+    key = hashlib.blake2b(text[at - low : at + length - high] + b"%d" % low, digest_size=8).digest()
+    return int.from_bytes(key, "big", signed=True)
+
+
+def _cell_rows(length: int, size: int, hashes: np.ndarray):
+    """The cells of all levels at the anchors with the given hashes."""
+    split = levels(length - size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = []
+            for text in batch.column("text").cast(pa.large_binary()).to_pylist():
+                if text is not None and len(text) >= length:
+                    place, own = anchors(np.frombuffer(text, np.uint8), length, size)
+                    for at in place[np.isin(own.view(np.int64), hashes)].tolist():
+                        cells += [_cell(text, at, a, b, length) for a, b in split if max(a, length + at - len(text)) <= min(b, at)]
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64())], names=["cell"])
+
+    return run
+
+
+def _hot_cells(rows: DataFrame, hashes: list[int], length: int, size: int) -> frozenset[int]:
+    """Cells with more than about HOT rows; their number is bounded by that of all rows / HOT."""
+    if not hashes:
+        return frozenset()
+    part = rows.filter(F.pmod(F.xxhash64("doc_id", "mark"), F.lit(SAMPLE)) == 0).select("text")
+    cells = part.mapInArrow(_cell_rows(length, size, np.array(hashes, np.int64)), "cell bigint")
+    return frozenset(r[0] for r in cells.groupBy("cell").count().filter(F.col("count") * SAMPLE > HOT).select("cell").collect())
+
+
+def _context_rows(length: int, size: int, hot: frozenset[int] = frozenset()):
     reach = length - size
     split = levels(reach)
 
@@ -106,22 +148,50 @@ def _context_rows(length: int, size: int):
         return max(0, at - reach), min(n, at + length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = [[] for _ in range(10)]
+
+        def put(*row) -> None:
+            for column, value in zip(columns, row):
+                column.append(value)
+
+        def settle(doc, mark, start: int, stop: int) -> None:
+            # Any cell will do, so settled rows are spread.
+            put(1, hash((doc, mark, start)), 0, 0, doc, mark, start, stop, 0, b"")
+
+        def drain() -> Iterator[pa.RecordBatch]:
+            kinds = [pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            whole = pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)],
+                names=["kind", "cell", "low", "high", "doc_id", "mark", "at", "stop", "before", "context"],
+            )
+            for column in columns:
+                column.clear()
+            for start in range(0, whole.num_rows, BATCH_ROWS):
+                yield whole.slice(start, BATCH_ROWS)
+
+        def release(strings: dict[bytes, list]) -> None:
+            """One row per string goes on; places of strings seen twice are settled here."""
+            done: dict[int, list] = {}
+            for key, found in strings.items():
+                _, doc, mark, at, offset = found[0]
+                put(2, int.from_bytes(key[:8], "big", signed=True), offset, offset, doc, mark, at, 0, offset, key[8:])
+                if len(found) > 1:
+                    for row, doc, mark, at, offset in found:
+                        done.setdefault(row, [doc, mark, []])[2].append((at - offset, at - offset + length))
+            for doc, mark, spans in done.values():
+                for start, stop in _union(spans):
+                    settle(doc, mark, start, stop)
+            strings.clear()
+
         for batch in batches:
-            columns = [[] for _ in range(10)]
             held: dict[tuple, tuple] = {}
             firsts, paid = set(), set()
-
-            def put(*row) -> None:
-                for column, value in zip(columns, row):
-                    column.append(value)
-
-            def settle(doc, mark, start: int, stop: int) -> None:
-                # Any cell will do, so settled rows are spread.
-                put(1, hash((doc, mark, start)), 0, 0, doc, mark, start, stop, 0, b"")
+            strings: dict[bytes, list] = {}
+            n_strings = 0
 
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-            for doc, mark, text, spots in zip(
-                batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist(), texts, batch.column("spots").to_pylist()
+            for row, (doc, mark, text, spots) in enumerate(
+                zip(batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist(), texts, batch.column("spots").to_pylist())
             ):
                 n, done = len(text), []
                 for spot in spots:
@@ -143,19 +213,23 @@ def _context_rows(length: int, size: int):
                         least, most = max(low, length + at - n), min(high, at)
                         if least > most:
                             continue
-                        context = text[at - most : at + length - least]
-                        key = hashlib.blake2b(text[at - low : at + length - high] + b"%d" % low, digest_size=8).digest()
-                        put(0, int.from_bytes(key, "big", signed=True), least, most, doc, mark, at, 0, most, context)
+                        cell = _cell(text, at, low, high, length)
+                        if spot["crowded"] and cell in hot:
+                            for offset in range(least, most + 1):
+                                key = hashlib.blake2b(text[at - offset : at - offset + length] + b"%d" % offset, digest_size=16).digest()
+                                strings.setdefault(key, []).append((row, doc, mark, at, offset))
+                                n_strings += 1
+                            continue
+                        put(0, cell, least, most, doc, mark, at, 0, most, text[at - most : at + length - least])
+                    if n_strings >= HELD_STRINGS:
+                        release(strings)
+                        n_strings = 0
+                        yield from drain()
                 for start, stop in _union(done):
                     settle(doc, mark, start, stop)
+            release(strings)
             if columns[0]:
-                kinds = [pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-                whole = pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)],
-                    names=["kind", "cell", "low", "high", "doc_id", "mark", "at", "stop", "before", "context"],
-                )
-                for start in range(0, whole.num_rows, 20_000):
-                    yield whole.slice(start, 20_000)
+                yield from drain()
 
     return run
 
@@ -306,9 +380,12 @@ def repeated_spans(
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("mark"))
     marked = stage(rows.mapInArrow(_anchor_rows(length, size), "hash bigint, doc_id bigint, mark bigint, at bigint"), "anchors")
     shared = stage(
-        marked.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash", (F.col("n") > CROWD).alias("crowded")),
+        marked.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+            "hash", (F.col("n") > min(CROWD, HOT)).alias("crowded"), (F.col("n") > HOT).alias("hot")
+        ),
         "shared-anchors",
     )
+    hot = _hot_cells(rows, [r[0] for r in shared.filter("hot").select("hash").collect()], length, size)
     few = shared.count() <= BROADCAST_SPANS
     spots = (
         marked.join(F.broadcast(shared) if few else shared, "hash")
@@ -318,7 +395,7 @@ def repeated_spans(
     spots = stage(spots, "spots").withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
     placed = rows.join(spots.hint("merge"), same)
-    contexts = placed.select("doc_id", "mark", "text", "spots").mapInArrow(_context_rows(length, size), CONTEXT)
+    contexts = placed.select("doc_id", "mark", "text", "spots").mapInArrow(_context_rows(length, size, hot), CONTEXT)
     # Rows that a task has settled go the same way as the others, past the sorting.
     cells = contexts.repartition("cell").sortWithinPartitions("cell")
     spans = cells.mapInArrow(_settled_or_sorted(length), "doc_id bigint, mark bigint, start bigint, stop bigint")
@@ -334,11 +411,35 @@ def repeated_spans(
     )
 
 
+def _counted(rows: list[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The places of strings that have several rows; all rows of a string are at hand."""
+    if not rows:
+        return
+    table = pa.Table.from_batches(rows).combine_chunks()
+    keys = np.stack([table.column("cell").to_numpy(), np.frombuffer(b"".join(table.column("context").to_pylist()), ">i8").astype(np.int64)], axis=1)
+    _, group, count = np.unique(keys, axis=0, return_inverse=True, return_counts=True)
+    twice = table.filter(pa.array(count[group.ravel()] > 1))
+    if twice.num_rows:
+        starts = twice.column("at").to_numpy() - twice.column("low").to_numpy()
+        ids = (twice.column(c).combine_chunks() for c in ("doc_id", "mark"))
+        yield pa.RecordBatch.from_arrays([*ids, pa.array(starts), pa.array(starts + length)], names=["doc_id", "mark", "start", "stop"])
+
+
 def _settled_or_sorted(length: int):
     of_cells = _spans_of_cells(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        settled = []
+        settled, single = [], []
+
+        def count(rows: pa.RecordBatch) -> None:
+            # Rows come by cell, so only those of the last cell may have others to come.
+            single.append(rows)
+            if sum(b.num_rows for b in single) >= CHUNK_ROWS:
+                last = single[-1].column("cell").to_numpy()
+                cut = int(np.searchsorted(last, last[-1], side="left"))
+                if cut:
+                    settled.extend(_counted([*single[:-1], rows.slice(0, cut)], length))
+                    single[:] = [rows.slice(cut)]
 
         def open_rows() -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -348,6 +449,9 @@ def _settled_or_sorted(length: int):
                     settled.append(
                         pa.RecordBatch.from_arrays([done.column(c) for c in ("doc_id", "mark", "at", "stop")], names=["doc_id", "mark", "start", "stop"])
                     )
+                alone = batch.filter(pa.array(kind == 2))
+                if alone.num_rows:
+                    count(alone)
                 rest = batch.filter(pa.array(kind == 0))
                 if rest.num_rows:
                     yield rest
@@ -356,6 +460,7 @@ def _settled_or_sorted(length: int):
             yield from settled
             settled.clear()
             yield out
+        settled.extend(_counted(single, length))
         yield from settled
 
     return run
