@@ -198,6 +198,16 @@ def test_deep_shallow_sort(rows):
             assert common[k] == suffix_sort.common_prefix(strings[a], strings[b])
 
 
+def test_shallow_order_goes_deeper_only_into_equal_runs(monkeypatch):
+    seen, lexsort = [], np.lexsort
+    monkeypatch.setattr(suffix_sort.np, "lexsort", lambda keys: seen.append((len(keys), len(keys[0]))) or lexsort(keys))
+    texts_ = [b"a" * 8 + b"2", b"b" * 20, b"a" * 8 + b"1", b"c" * 20, b"d" * 9, b"a" * 3]
+    order, common = suffix_sort.sort_strings(np.array([0, 0, 0, 0, 0, 1]), texts_)
+    assert order.tolist() == [2, 0, 1, 3, 4, 5] and common.tolist() == [-1, 8, 0, 0, 0, -1]
+    # One word at a time: five rows of the first group, then the two that agree in it.
+    assert seen == [(2, 5), (2, 2)]
+
+
 @pytest.mark.parametrize("few", [100_000, -1])
 def test_mixing(docs, odd, empty, few):
     got = mixing.mix(docs, broadcast_sources=few).collect()

@@ -84,6 +84,28 @@ class BlindTrie:
         return rows, common
 
 
+def shallow_order(groups: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by group and the words of each row, and where rows differ from the one before.
+
+    Rows are partitioned by one word at a time; only runs that are still equal go
+    on to the next word.
+    """
+    order = np.argsort(groups, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = groups[order][1:] != groups[order][:-1]
+    for word in words.T:
+        alone = new & np.append(new[1:], True)
+        at = np.flatnonzero(~alone)
+        if not len(at):
+            break
+        run = np.cumsum(new)[at]
+        rows = order[at]
+        rows = rows[np.lexsort((word[rows], run))]
+        order[at] = rows
+        new[at[1:]] |= word[rows][1:] != word[rows][:-1]
+    return order, new
+
+
 def sort_strings(groups: np.ndarray, texts: list[bytes], skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Order by group and string, and the common prefix of each with the one before.
 
@@ -92,10 +114,8 @@ def sort_strings(groups: np.ndarray, texts: list[bytes], skip: int = 0) -> tuple
     """
     head = b"".join(t[skip : skip + SHALLOW].ljust(SHALLOW, b"\0") for t in texts)
     words = np.frombuffer(head, ">u8").reshape(len(texts), SHALLOW // 8)
-    order = np.lexsort((*[words[:, k] for k in reversed(range(words.shape[1]))], groups))
-    sorted_words, sorted_groups = words[order], groups[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (sorted_groups[1:] != sorted_groups[:-1]) | (sorted_words[1:] != sorted_words[:-1]).any(axis=1)
+    order, new = shallow_order(groups, words)
+    sorted_groups = groups[order]
     common = np.full(len(order), -1, np.int64)
     first = np.flatnonzero(new)
     for start, stop in zip(first.tolist(), np.append(first[1:], len(order)).tolist()):
