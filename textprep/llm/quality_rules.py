@@ -1,8 +1,14 @@
 """Quality by weak supervision: rules vote or abstain, EM weighs them.
 
-All counts are taken inside the row from the whole text, so nothing but the
-vote patterns (at most 3^rules rows, counted by Spark) leaves the scan. The fit
-runs on that table of patterns, whatever the size of the corpus.
+Every rule measures something else in the text and may vote good or bad. None of
+them decides alone: expectation-maximisation over the vote patterns estimates how
+often each rule errs on good and on bad documents, without labels, and a document
+is judged by the posterior probability that follows from all its votes.
+
+All counts are taken inside the row from the whole text and staged, so the text
+is read once; nothing but the vote patterns (at most 3^rules rows, counted by
+Spark) reaches the driver. The fit runs on that table of patterns, whatever the
+size of the corpus.
 """
 
 from __future__ import annotations
@@ -13,27 +19,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textprep.llm.columns import SPACE_CHARACTERS, WORD, whole, without
+from textprep.session import stage
 
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-# Rule: (measure, votes good up to, votes bad from); it abstains in between. A
-# rule that looks for one defect has no grounds to vote good when it finds none.
+# Rule: (measure, votes good up to, votes bad from); it abstains in between.
 RULES = {
-    "prose": ("(n_symbols + n_capitals) / word_chars", 0.08, 0.15),
-    "symbols": ("n_symbols / n_words", None, 0.1),
-    "capitals": ("n_capitals / word_chars", None, 0.4),
-    "repeats": ("n_repeat_words / n_words", None, 0.5),
-    "dup_lines": ("n_dup_lines / n_lines", None, 0.5),
-    "word_length": ("abs(word_chars / n_words - 6)", None, 4.5),
+    "letters": ("(n_symbols + n_capitals) / word_chars", 0.06, 0.09),
+    "symbols": ("n_symbols / n_words", 0.02, 0.1),
+    "capitals": ("n_capitals / word_chars", 0.06, 0.3),
+    "repeats": ("n_repeat_words / n_words", 0.02, 0.1),
+    "dup_lines": ("n_dup_lines / n_lines", 0.0, 0.15),
+    "word_length": ("abs(word_chars / n_words - 5.75)", 1.25, 1.75),
 }
-# Where the fit starts, and how strongly it holds to that: pseudo-counts as a share
-# of all documents. Defects that exclude each other leave the classes undetermined
-# without them; a share behaves alike at every size.
+# Where the fit starts: the share of good documents, and the chances of a bad and
+# of a good vote on each class. It holds to that as to PSEUDO documents, a fixed
+# number, so that rules without votes on a class stay defined.
 PRIOR_GOOD = 0.85
-# Chances of a bad and of a good vote (if the rule has one) on each class.
-START = {"good": (0.01, 0.90), "bad": (0.30, 0.30)}
-PSEUDO = 1.0
+START = {"good": (0.05, 0.80), "bad": (0.30, 0.30)}
+PSEUDO = 20.0
 ROUNDS = 20
 
 
@@ -41,7 +46,9 @@ def text_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """doc_id and the counts the rules and the base test read, from whole texts.
 
     Windows of three words are compared by 64-bit hash. A text without words,
-    empty or null, has zeros throughout.
+    empty or null, has zeros throughout. The result comes out of an exploded
+    array of one row, so that filters on it stay above the counts: pushed below,
+    each would repeat the nested expressions many times over.
     """
     content = docs.select(F.col(doc_id).alias("doc_id"), whole(F.col(text)).alias("content"))
     split = content.select(
@@ -83,7 +90,7 @@ def text_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         F.lit(0),
         lambda total, x: total + x,
     )
-    return repeated.select(
+    row = F.struct(
         "doc_id",
         "n_words",
         "word_chars",
@@ -93,6 +100,7 @@ def text_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         "n_lines",
         "n_capitals",
     )
+    return repeated.select(F.explode(F.array(row)).alias("row")).select("row.*")
 
 
 def votes(rules: dict = RULES) -> list[Column]:
@@ -116,7 +124,6 @@ def fit_rules(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, rounds:
     make the estimate well defined for any input, empty ones too.
     """
     total = sum(n for _, n in patterns)
-    pseudo = max(1.0, PSEUDO * total)
     good_share = PRIOR_GOOD
     chance = {c: [{-1: START[c][0], 1: START[c][1]} for _ in range(n_rules)] for c in ("good", "bad")}
 
@@ -138,12 +145,12 @@ def fit_rules(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, rounds:
             for j, v in enumerate(pattern):
                 mass["good"][j][v] += n * p
                 mass["bad"][j][v] += n * (1 - p)
-        good_share = (good_total + pseudo * PRIOR_GOOD) / (total + pseudo)
+        good_share = (good_total + PSEUDO * PRIOR_GOOD) / (total + PSEUDO)
         for c in ("good", "bad"):
             for j in range(n_rules):
-                seen = sum(mass[c][j].values()) + pseudo
+                seen = sum(mass[c][j].values()) + PSEUDO
                 for v, start in zip((-1, 1), START[c]):
-                    chance[c][j][v] = (mass[c][j][v] + pseudo * start) / seen
+                    chance[c][j][v] = (mass[c][j][v] + PSEUDO * start) / seen
     return weights()
 
 
@@ -154,9 +161,10 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: di
     votes; it is kept if it passes the base test and quality >= 0.5. Null, empty
     and blank texts have zero counts and fail the base test. Repeated rows are
     judged alike, null ids too; other columns are ignored; an empty table gives
-    an empty result.
+    an empty result. The counts are staged: they are read by the fit and by the
+    verdict.
     """
-    counts = text_counts(docs, doc_id, text)
+    counts = stage(text_counts(docs, doc_id, text), "quality-counts")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     voted = counts.withColumn("base_failed", failed).select("*", *votes(rules))
     names = [f"vote_{name}" for name in rules]
@@ -171,10 +179,10 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: di
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: dict = RULES) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``judge`` keeps; nothing is shuffled."""
+    """The rows of ``docs``, all columns, that ``judge`` keeps; nothing is shuffled.
+
+    The whole rows are staged with their counts. Null ids, repeated rows and any
+    columns of their own names stay as they are; an empty table stays empty.
+    """
     whole_rows = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
-    judged = judge(whole_rows, "_row", "_text", rules)
-    # A filter would be pushed below the counts and repeat their expressions in
-    # itself; an exploded array of one or no row is not.
-    stays = F.when(F.col("kept"), F.array("doc_id"))
-    return judged.select(F.explode(stays).alias("_row")).select("_row.*")
+    return judge(whole_rows, "_row", "_text", rules).filter("kept").select("doc_id.*")
