@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from textprep.llm import (
     exact_dedup,
+    hard_negatives,
     jaccard_join,
     language_id,
     licenses,
@@ -74,6 +75,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("dice", F.round("dice", 6))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     **{f.__name__: f
@@ -88,6 +93,7 @@ QUERIES = {
         op8_language_id,
         op9_suffix_dedup,
         op10_license_scan,
+        op13_hard_negatives,
     )},
 }
 
@@ -141,6 +147,25 @@ SQL: dict[str, str] = {
                doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY t)
     """,
+    "op13_hard_negatives": r"""
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256.0::DOUBLE * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, list_dot_product(a.q, r.q)::BIGINT AS score
+            FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id AND len(a.q) = len(r.q)
+        ),
+        p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT p.anchor_id, p.id AS positive_id, (row_number() OVER best)::INTEGER AS rank, n.id AS negative_id,
+            p.score AS positive_score, n.score AS negative_score
+        FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+        WINDOW best AS (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)
+        QUALIFY row_number() OVER best <= 5
+    """,
     "op5_ngram_jaccard": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all(
