@@ -12,6 +12,7 @@ from textprep.llm import (
     jaccard_join,
     language_id,
     licenses,
+    minhash,
     mixing,
     packing,
     quality_classifier,
@@ -75,6 +76,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("dice", F.round("dice", 6))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -93,6 +98,7 @@ QUERIES = {
         op8_language_id,
         op9_suffix_dedup,
         op10_license_scan,
+        op11_minhash,
         op13_hard_negatives,
     )},
 }
@@ -137,6 +143,35 @@ def _license_sql() -> str:
     """
 
 
+def _component_sql(size: int, percent: int, more: str = "") -> str:
+    """Components of documents linked by the Jaccard similarity of their word shingles."""
+    return rf"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - {size} + 2), lambda i: array_to_string(w[i:i+{size}-1], ' ')) END) AS g
+            FROM words
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
+            FROM shingles x JOIN shingles y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL
+        ),
+        links AS (
+            SELECT a, b FROM common JOIN sizes s ON a = s.doc_id JOIN sizes t ON b = t.doc_id
+            WHERE 100 * o >= {percent} * (s.n + t.n - o)
+        ),
+        reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+        SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(r.low, d.doc_id) AS component_id{more}
+        FROM documents d LEFT JOIN sizes s USING (doc_id)
+        LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) r USING (doc_id)
+    """
+
+
 SQL: dict[str, str] = {
     "op10_license_scan": _license_sql(),
     "op1_exact_dedup": r"""
@@ -166,31 +201,8 @@ SQL: dict[str, str] = {
         WINDOW best AS (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)
         QUALIFY row_number() OVER best <= 5
     """,
-    "op5_ngram_jaccard": r"""
-        WITH RECURSIVE words AS (
-            SELECT doc_id, regexp_extract_all(
-                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
-            FROM documents
-        ),
-        shingles AS (
-            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END) AS g
-            FROM words
-        ),
-        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
-        common AS (
-            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
-            FROM shingles x JOIN shingles y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL
-        ),
-        links AS (
-            SELECT a, b FROM common JOIN sizes s ON a = s.doc_id JOIN sizes t ON b = t.doc_id
-            WHERE 100 * o >= 85 * (s.n + t.n - o)
-        ),
-        reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
-        SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(r.low, d.doc_id) AS component_id
-        FROM documents d LEFT JOIN sizes s USING (doc_id)
-        LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) r USING (doc_id)
-    """,
+    "op5_ngram_jaccard": _component_sql(4, 85),
+    "op11_minhash": _component_sql(3, 85, ", coalesce(r.low, d.doc_id) = d.doc_id AS kept"),
     "op7_mixing": r"""
         WITH sized AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
