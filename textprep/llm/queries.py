@@ -15,6 +15,7 @@ from textprep.llm import (
     minhash,
     mixing,
     packing,
+    phrases,
     quality_classifier,
     quality_rules,
     suffix_dedup,
@@ -80,6 +81,10 @@ def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -99,6 +104,7 @@ QUERIES = {
         op9_suffix_dedup,
         op10_license_scan,
         op11_minhash,
+        op12_collocations,
         op13_hard_negatives,
     )},
 }
@@ -182,6 +188,45 @@ SQL: dict[str, str] = {
                doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY t)
     """,
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+            FROM documents
+        ),
+        grams AS (
+            SELECT lang, unnest(list_concat(
+                w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i+1]),
+                list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])
+            )) AS phrase FROM pieces
+        ),
+        f AS (SELECT lang, phrase, count(*) AS f, len(string_split(phrase, ' ')) AS size FROM grams GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+        cand AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+        inner_pairs AS (
+            SELECT lang, part AS phrase, max(f) AS cover FROM (
+                SELECT lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM cand WHERE size = 3
+            ) GROUP BY ALL
+        ),
+        bare AS (
+            SELECT c.* FROM cand c LEFT JOIN inner_pairs i ON c.lang = i.lang AND c.phrase = i.phrase
+            WHERE i.cover IS NULL OR 100 * i.cover < 50 * c.f
+        ),
+        cuts AS (
+            SELECT lang, phrase, f AS a, unnest(range(1, size)) AS k, w FROM bare
+        ),
+        parted AS (
+            SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, ((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cuts c
+            JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k+1:], ' ')
+            QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1
+        )
+        SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n, score FROM parted JOIN n USING (lang)
+        WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+        QUALIFY row_number() OVER best <= 2000
+    """,
     "op13_hard_negatives": r"""
         WITH v AS (
             SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
