@@ -71,7 +71,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing will read again.
+
+    What was computed from them has to be staged itself.
+    """
+    for table in tables:
+        _remove(table.sparkSession, table._staged_at)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
