@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -24,6 +27,10 @@ LOCAL_BYTES = 256 << 20
 SORT_ROWS = 1_000_000
 # Candidates per wanted term that one final sort may take.
 SORT_FACTOR = 50
+# Counters a task holds per wanted term, and at least.
+SUMMARY_FACTOR, SUMMARY_LEAST = 10, 1 << 20
+# Candidates that may travel to every task by their hashes, 64 MB.
+MAX_CANDIDATES = 8_000_000
 
 
 def with_tokens(df: DataFrame, text: str = "clean_text", target: str = "tokens") -> DataFrame:
@@ -100,51 +107,173 @@ def fits_locally(terms: DataFrame, limit: int | None = None) -> bool:
     return size["n"] <= (LOCAL_VOCABULARY if limit is None else limit) and size["bytes"] <= LOCAL_BYTES
 
 
-def _extendable(level: DataFrame, found: DataFrame | None, cfg: TfidfConfig) -> list[str] | None:
-    """The n-grams of one length that longer vocabulary terms can hold, or None for all.
+def _token_keys(flat: pa.Array) -> np.ndarray:
+    """Two independent 64-bit hashes per token, side by side."""
+    coded = flat.dictionary_encode()
+    words = [hashlib.blake2b(w.encode(), digest_size=16).digest() for w in coded.dictionary.to_pylist()]
+    keys = np.frombuffer(b"".join(words), np.uint64).reshape(-1, 2)
+    return keys[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD)
+    return x ^ (x >> np.uint64(32))
 
-    A term occurs at most as often as its parts. So once ``max_features`` terms
-    reach some frequency, no n-gram with a rarer part gets in; before that, the
-    frequent n-grams are fewer than ``max_features`` but for those above
-    ``max_df``. Either way the list is short; if ties make it long, nothing is
-    pruned and the result is the same.
+
+def _gram_keys(keys: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both hashes of all n-grams that stay inside one row, and where each begins."""
+    count = len(rows) - n + 1
+    if count <= 0:
+        return keys[:0], rows[:0]
+    combined = keys[:count].copy()
+    for i in range(1, n):
+        combined = _mixed(combined * np.uint64(0x9E3779B97F4A7C15) + keys[i : i + count])
+    at = np.flatnonzero(rows[:count] == rows[n - 1 :])
+    return combined[at], at
+
+
+class _Members:
+    """Which hashes are in a sorted array, and where; most others are told by one bit."""
+
+    def __init__(self, hashes: np.ndarray, bits: int = 1 << 24):
+        self.sorted, self.low = hashes, np.uint64(bits - 1)
+        self.seen = np.zeros(bits, bool)
+        self.seen[hashes & self.low] = True
+
+    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the keys that are members, and of each in the sorted array."""
+        may = np.flatnonzero(self.seen[keys & self.low])
+        if not len(may) or not len(self.sorted):
+            return may[:0], may[:0]
+        at = np.minimum(np.searchsorted(self.sorted, keys[may]), len(self.sorted) - 1)
+        hit = self.sorted[at] == keys[may]
+        return may[hit], at[hit]
+
+
+def _per_hash(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes, their occurrences, rows they occur in, and a place of each."""
+    order = np.argsort(keys, kind="stable")
+    keys, rows = keys[order], rows[order]
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    fresh = first.copy()
+    fresh[1:] |= rows[1:] != rows[:-1]  # rows ascend among equal hashes
+    starts = np.flatnonzero(first)
+    tf = np.diff(np.append(starts, len(keys)))
+    df = np.add.reduceat(fresh.astype(np.int64), starts) if len(starts) else starts
+    return keys[starts], tf, df, order[starts]
+
+
+def _summaries(cfg: TfidfConfig, capacity: int):
+    """Counters of a task's most frequent n-grams, and by how much they may be too low.
+
+    Counters are merged batch by batch. Beyond the capacity the smallest are given up;
+    the largest of these adds to the bound on what any n-gram may have lost.
     """
-    least = 0
-    if found is not None:
-        top = top_rows(found, cfg.max_features, "tf", "term")
-        last = top.agg(F.count(F.lit(1)).alias("n"), F.min("tf").alias("tf")).first()
-        least = last["tf"] if last["n"] == cfg.max_features else 0
-    parts = level.filter(F.col("tf") >= F.lit(least)).select("term")
-    return parts.toPandas()["term"].tolist() if fits_locally(parts) else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)]
+        lost = 0
+        for batch in batches:
+            flat, rows = _flat(batch.column("tokens"))
+            keys = _token_keys(flat)
+            grams = [_gram_keys(keys, rows, n) for n in range(cfg.ngram_min, cfg.ngram_max + 1)]
+            own = [_per_hash(k[:, 0], rows[at]) for k, at in grams]
+            hashes, tf, df = (np.concatenate([held[i], *(x[i] for x in own)]) for i in range(3))
+            order = np.argsort(hashes, kind="stable")
+            starts = np.flatnonzero(np.concatenate([[True], np.diff(hashes[order]) != 0])) if len(order) else order
+            held = [hashes[order][starts], *(np.add.reduceat(x[order], starts) if len(starts) else x for x in (tf, df))]
+            if len(held[0]) > capacity:
+                cut = int(np.partition(held[1], len(held[1]) - capacity - 1)[len(held[1]) - capacity - 1])
+                lost += cut
+                held = [x[held[1] > cut] for x in held]
+        size = len(held[0])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.append(held[0], np.uint64(0)).view(np.int64)),
+                *(pa.array(np.append(x, 0)) for x in held[1:]),
+                pa.array(np.append(np.zeros(size, np.int64), lost)),
+            ],
+            names=["h", "tf", "df", "lost"],
+        )
+
+    return run
 
 
-def vocabulary_candidates(df: DataFrame, n_docs: int, cfg: TfidfConfig, text: str) -> DataFrame:
-    """tf and df of all n-grams that can be in the vocabulary, length by length.
+def _admitted(tokens: DataFrame, n_docs: int, cfg: TfidfConfig) -> np.ndarray | None:
+    """Sorted hashes of all n-grams that can be in the vocabulary, or None for any.
 
-    Each row sends its distinct n-grams with their counts, and only those whose
-    parts were frequent enough: rare n-grams, nearly all of a large corpus,
-    never enter a shuffle.
+    Every n-gram's true count lies between its counter and that plus the sum of what
+    tasks gave up. The counters that surely are within the document frequency limits
+    say which count the last vocabulary term has at least; who cannot reach it is out.
     """
-    tokens = stage(with_tokens(df.select(text), text).select("tokens"), "tokens")
-    low = _bound(cfg.min_df, n_docs)
-    found, known = None, None
-    for n in range(1, cfg.ngram_max + 1):
-        counts = _gram_counter(df.sparkSession, n, n, known)
-        per_row = tokens.select(F.inline(counts(F.col("tokens"))))
-        level = per_row.groupBy("term").agg(F.sum("n").alias("tf"), F.count(F.lit(1)).alias("df"))
-        level = stage(level.filter(F.col("df") >= F.lit(low)), "terms")
-        if n >= cfg.ngram_min:
-            fit = eligible_terms(level, n_docs, cfg)
-            found = fit if found is None else found.unionByName(fit)
-        if n < cfg.ngram_max:
-            known = _extendable(level, found, cfg)
-    return found
+    capacity = max(SUMMARY_LEAST, SUMMARY_FACTOR * cfg.max_features)
+    counters = tokens.mapInArrow(_summaries(cfg, capacity), "h bigint, tf bigint, df bigint, lost bigint")
+    merged = counters.groupBy("h").agg(*[F.sum(c).alias(c) for c in ("tf", "df", "lost")])
+    # Counters of 1, nearly all of them, are given up here.
+    summary = stage(merged.filter("tf > 1 or lost > 0"), "gram-counters")
+    low, high = _bound(cfg.min_df, n_docs), _bound(cfg.max_df, n_docs)
+    lost = summary.agg(F.sum("lost").alias("lost")).first()["lost"] or 0
+    if lost or low < 2:
+        lost += 1
+    sure = summary.filter((F.col("df") >= low) & (F.col("df") + lost <= high))
+    # Eight steps per doubling of the count: a few hundred lines at most.
+    magnitude = F.floor(F.log2(F.col("tf").cast("double")) * 8)
+    steps = sure.groupBy(magnitude.alias("m")).agg(F.count(F.lit(1)).alias("n"), F.min("tf").alias("least"))
+    seen, least = 0, 0
+    for row in steps.orderBy(F.desc("m")).collect():
+        seen += row["n"]
+        if seen >= cfg.max_features:
+            least = row["least"]
+            break
+    if lost >= least > 0 or (lost and not least):
+        return None
+    can = summary.filter((F.col("tf") + lost >= least) & (F.col("df") + lost >= low)).select("h")
+    if can.count() > MAX_CANDIDATES:
+        return None
+    return np.sort(can.toArrow().column("h").to_numpy().view(np.uint64))
+
+
+def _exact_counts(cfg: TfidfConfig, shared):
+    """Per batch the distinct admitted n-grams, spelled out, with tf and df."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members = None if shared is None else _Members(shared.value)
+        for batch in batches:
+            flat, rows = _flat(batch.column("tokens"))
+            keys = _token_keys(flat)
+            for n in range(cfg.ngram_min, cfg.ngram_max + 1):
+                grams, at = _gram_keys(keys, rows, n)
+                if members is not None:
+                    grams, at = (x[members(grams[:, 0])[0]] for x in (grams, at))
+                _, tf, df, place = _per_hash(grams[:, 0], rows[at])
+                terms = _joined([flat.take(pa.array(at[place] + i)) for i in range(n)])
+                yield pa.RecordBatch.from_arrays([terms, pa.array(tf), pa.array(df)], names=["term", "tf", "df"])
+
+    return run
+
+
+def vocabulary_candidates(tokens: DataFrame, n_docs: int, cfg: TfidfConfig) -> DataFrame:
+    """tf and df of all n-grams that can be in the vocabulary, out of staged tokens.
+
+    One pass keeps mergeable counters of the frequent n-grams of all lengths; their
+    bounds admit candidates, and a second pass counts exactly these. Rare n-grams,
+    nearly all of a large corpus, are spelled out nowhere. If the bounds cannot tell
+    (all counts tie, or the candidates are too many), every n-gram is a candidate.
+    N-grams are told apart by 64-bit hash.
+    """
+    admitted = _admitted(tokens, n_docs, cfg)
+    shared = None if admitted is None else tokens.sparkSession.sparkContext.broadcast(admitted)
+    counted = tokens.mapInArrow(_exact_counts(cfg, shared), "term string, tf bigint, df bigint")
+    exact = counted.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    return stage(eligible_terms(exact, n_docs, cfg), "terms")
 
 
 def tfidf_vocab(df: DataFrame, cfg: TfidfConfig = TfidfConfig(), text: str = "clean_text") -> DataFrame:
     """The vocabulary of ``df``: term, id (in term order), tf, df and idf."""
-    n_docs = df.count()
-    terms = vocabulary_candidates(df, n_docs, cfg, text)
+    tokens = stage(with_tokens(df.select(text), text).select("tokens"), "tokens")
+    n_docs = tokens.count()
+    terms = vocabulary_candidates(tokens, n_docs, cfg)
     chosen = stage(top_rows(terms, cfg.max_features, "tf", "term"), "chosen-terms")
     return numbered(chosen, "_place", "term", in_one_task=SORT_ROWS).select(
         "term",
@@ -165,34 +294,23 @@ def _joined(parts: list[pa.Array]) -> pa.Array:
     return parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, " ")
 
 
-def _grams(flat: pa.Array, rows: np.ndarray, n: int, known: pa.Array | None = None) -> tuple[pa.Array, np.ndarray]:
-    """All n-grams that stay inside one row, with their rows.
-
-    With ``known`` only those whose first and last n - 1 tokens are in it.
-    """
+def _grams(flat: pa.Array, rows: np.ndarray, n: int) -> tuple[pa.Array, np.ndarray]:
+    """All n-grams that stay inside one row, with their rows."""
     count = len(flat) - n + 1
     if count <= 0:
         return flat.slice(0, 0), rows[:0]
     inside = rows[:count] == rows[n - 1 :]
-    if known is not None:
-        shorter = _joined([flat.slice(i, count + 1) for i in range(n - 1)])
-        hit = pc.is_in(shorter, value_set=known).to_numpy(zero_copy_only=False)
-        inside &= hit[:-1] & hit[1:]
     mask = pa.array(inside)
     return _joined([flat.slice(i, count).filter(mask) for i in range(n)]), rows[:count][inside]
 
 
-def _gram_counter(spark: SparkSession, low: int, high: int, known: list[str] | None = None):
+def _gram_counter(low: int, high: int):
     """A function from token lists to each row's distinct n-grams with their counts."""
-    shared = None if known is None else spark.sparkContext.broadcast(known)
-    cache: dict[str, pa.Array] = {}
 
     @F.arrow_udf("array<struct<term:string,n:bigint>>")
     def counts(tokens: pa.Array) -> pa.Array:
-        if shared is not None and "known" not in cache:
-            cache["known"] = pa.array(shared.value, pa.string())
         flat, rows = _flat(tokens)
-        found = [_grams(flat, rows, n, cache.get("known")) for n in range(low, high + 1)]
+        found = [_grams(flat, rows, n) for n in range(low, high + 1)]
         coded = pa.concat_arrays([g for g, _ in found]).dictionary_encode()
         owner = np.concatenate([r for _, r in found])
         width = np.int64(max(len(coded.dictionary), 1))
@@ -207,17 +325,33 @@ def _gram_counter(spark: SparkSession, low: int, high: int, known: list[str] | N
     return counts
 
 
-def _weigh(tokens: pa.Array, terms: pa.Array, idf: np.ndarray, cfg: TfidfConfig):
-    """Row offsets, term ids and unit-length weights of a batch of token lists."""
+def _term_keys(terms: pa.Array) -> np.ndarray:
+    """Both hashes of whole n-grams, as ``_gram_keys`` computes them from tokens."""
+    words = pc.split_pattern(terms, " ")
+    flat, rows = _flat(words)
+    keys, lengths = _token_keys(flat), np.bincount(rows, minlength=len(terms))
+    out = np.zeros((len(terms), 2), np.uint64)
+    for n in np.unique(lengths).tolist():
+        grams, at = _gram_keys(keys, rows, n)
+        whole = lengths[rows[at]] == n
+        out[rows[at][whole]] = grams[whole]
+    return out
+
+
+def _weigh(tokens: pa.Array, members: _Members, check: np.ndarray, ids: np.ndarray, idf: np.ndarray, cfg: TfidfConfig):
+    """Row offsets, term ids and unit-length weights of a batch of token lists.
+
+    Terms are found by one hash and have to agree in the other one as well.
+    """
     flat, rows = _flat(tokens)
-    width = np.int64(max(len(terms), 1))
-    found = [_grams(flat, rows, n) for n in range(cfg.ngram_min, cfg.ngram_max + 1)]
-    # One lookup of all lengths: each builds the hash table of the terms anew.
-    term = pc.index_in(pa.concat_arrays([g for g, _ in found]), value_set=terms)
-    known = pc.is_valid(term).to_numpy(zero_copy_only=False)
-    owner = np.concatenate([r for _, r in found])[known]
-    term = term.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
-    cell, tf = np.unique(owner * width + term, return_counts=True)
+    keys, width = _token_keys(flat), np.int64(max(len(ids), 1))
+    cells = []
+    for n in range(cfg.ngram_min, cfg.ngram_max + 1):
+        grams, at = _gram_keys(keys, rows, n)
+        hit, place = members(grams[:, 0])
+        same = check[place] == grams[hit, 1]
+        cells.append(rows[at[hit[same]]] * width + ids[place[same]])
+    cell, tf = np.unique(np.concatenate(cells), return_counts=True)
     owner, term = np.divmod(cell, width)
     weight = (1.0 + np.log(tf)) * idf[term]
     norm = np.sqrt(np.bincount(owner, weights=weight * weight, minlength=len(tokens)))
@@ -254,27 +388,30 @@ def _sparse_vectors(offsets, term, weight, size: int) -> pa.Array:
 def vectorizer(vocab: DataFrame, cfg: TfidfConfig = TfidfConfig(), bias: bool = False):
     """A function from a token column and a sign column to ML vectors.
 
-    The vocabulary is bounded by ``max_features`` and shipped to the tasks, so
-    a row's vector is built where the row is: no explode, no join, no shuffle.
-    With ``bias`` a last feature of value 1 is appended.
+    The vocabulary is bounded by ``max_features`` and shipped to the tasks as sorted
+    hashes, so a row's vector is built where the row is: no explode, no join, no
+    shuffle. With ``bias`` a last feature of value 1 is appended.
     """
-    size = vocab.count()
-    table = vocab.orderBy("id").select("term", "idf").toPandas()
-    shared = vocab.sparkSession.sparkContext.broadcast(
-        (table["term"].tolist(), table["idf"].to_numpy())
-    )
-    cache: dict[str, pa.Array] = {}
+    table = vocab.select("id", "term", "idf").toArrow().combine_chunks()
+    size = table.num_rows
+    ids = table.column("id").to_numpy().astype(np.int64)
+    idf = np.zeros(size)
+    idf[ids] = table.column("idf").to_numpy()
+    terms = table.column("term").combine_chunks()
+    keys = _term_keys(terms if isinstance(terms, pa.Array) else pa.concat_arrays(terms.chunks))
+    order = np.argsort(keys[:, 0], kind="stable")
+    shared = vocab.sparkSession.sparkContext.broadcast((keys[order, 0], keys[order, 1], ids[order], idf))
+    cache: dict[str, _Members] = {}
 
     @F.arrow_udf(VectorUDT())
     def vectorize(tokens: pa.Array, sign: pa.Array) -> pa.Array:
-        terms, idf = shared.value
-        if "terms" not in cache:
-            cache["terms"] = pa.array(terms, pa.string())
-        offsets, term, weight = _weigh(tokens, cache["terms"], idf, cfg)
+        hashes, check, ids, idf = shared.value
+        if "members" not in cache:
+            cache["members"] = _Members(hashes)
+        offsets, term, weight = _weigh(tokens, cache["members"], check, ids, idf, cfg)
         if bias:
             offsets, term, weight = _with_bias(offsets, term, weight, size)
-        signs = sign.to_numpy(zero_copy_only=False)
-        weight = weight * np.repeat(signs, np.diff(offsets))
+        weight = weight * np.repeat(sign.to_numpy(zero_copy_only=False), np.diff(offsets))
         return _sparse_vectors(offsets, term, weight, size + int(bias))
 
     return vectorize
@@ -326,7 +463,7 @@ def tfidf_weights(
 
 
 def _weights_by_join(df: DataFrame, vocab: DataFrame, cfg: TfidfConfig, text: str) -> DataFrame:
-    counts = _gram_counter(df.sparkSession, cfg.ngram_min, cfg.ngram_max)
+    counts = _gram_counter(cfg.ngram_min, cfg.ngram_max)
     tokens = with_tokens(df.select("row_id", text), text)
     tf = tokens.select("row_id", F.inline(counts(F.col("tokens"))))
     # Every term of the rows with its count: one outside the vocabulary can be hot too.
