@@ -7,6 +7,7 @@ and one nested expression would grow exponentially.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pyarrow as pa
@@ -47,20 +48,40 @@ NFKC_SUSPECT = (
 )
 
 
+# What a Unicode form may change, with the character before it: a mark joins that. An
+# ASCII character never joins what comes before it, so each run has a form of its own.
+_RUN = re.compile(r"([\x00-\x7F]?[^\x00-\x7F]+)")
+
+
 def _normalizer(form: str, drop_marks: bool):
-    """An Arrow UDF applying a Unicode form; null rows (bypassed) cost nothing."""
+    """An Arrow UDF applying a Unicode form; null rows (bypassed) cost nothing.
 
-    def convert(text: str | None) -> str | None:
-        if text is None:
-            return None
-        out = unicodedata.normalize(form, text)
+    Each batch is cut into runs at once, and a run is normalised once, however often
+    and in however many texts it occurs.
+    """
+
+    def convert(run: str) -> str:
+        out = unicodedata.normalize(form, run)
         return "".join(c for c in out if not unicodedata.combining(c)) if drop_marks else out
 
+    def together(texts: list[str]) -> list[str]:
+        # A separator that no text holds; it is ASCII, so no run begins before it.
+        mark = next((c for c in map(chr, range(32)) if not any(c in t for t in texts)), None)
+        if mark is None:
+            return [convert(t) for t in texts]
+        parts = _RUN.split(mark.join(texts))
+        runs = set(parts[1::2])
+        # The separator may stand at the front of a run and stays as it is.
+        forms = dict(zip(runs, map(convert, runs)))
+        parts[1::2] = map(forms.__getitem__, parts[1::2])
+        return "".join(parts).split(mark)
+
     @F.arrow_udf("string")
     def normalize(texts: pa.Array) -> pa.Array:
         if texts.null_count == len(texts):
             return pa.nulls(len(texts), pa.string())
-        return pa.array([convert(t) for t in texts.to_pylist()], pa.string())
+        found = iter(together(texts.drop_null().to_pylist()))
+        return pa.array([next(found) if valid else None for valid in texts.is_valid().to_pylist()], pa.string())
 
     return normalize
 

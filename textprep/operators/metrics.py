@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,6 +16,8 @@ from textprep.functions.scores import (
     sweep_threshold,
     thresholds_passed,
 )
+from textprep.operators.custom import Metric, custom_metrics
+from textprep.operators.rows import side_by_side
 from textprep.session import stage
 
 # Distinct scores that a single window task may rank.
@@ -236,11 +240,22 @@ def best_f1_threshold(df: DataFrame) -> DataFrame:
     return best.select(sweep_threshold(F.col("i")).alias("threshold"), "best_f1")
 
 
-def evaluate(df: DataFrame, threshold: float = DEFAULT_THRESHOLD, *by: str) -> DataFrame:
+def evaluate(
+    df: DataFrame, threshold: float = DEFAULT_THRESHOLD, *by: str, metrics: dict[str, Metric] | None = None
+) -> DataFrame:
     """All metrics of a prediction table as one struct ``metrics`` per group.
 
-    Also gives ``num_samples``. The predictions are read once.
+    Also gives ``num_samples``. The predictions are read once, and once more for
+    ``metrics`` of the caller, which come as one struct ``custom``.
     """
+    if metrics:
+        own = custom_metrics(df, metrics, *by).select(
+            *[F.col(c).alias(f"_{c}") for c in by], F.struct(*[F.col(f"`{m}`") for m in metrics]).alias("custom")
+        )
+        same = [F.col(c).cast("string").eqNullSafe(F.col(f"_{c}")) for c in by]  # one row per group
+        both = evaluate(df, threshold, *by)
+        joined = both.join(F.broadcast(own), reduce(lambda a, b: a & b, same)) if by else side_by_side(both, own)
+        return joined.drop(*[f"_{c}" for c in by])
     ranked = _negatives_below(score_table(df, *by), by, WINDOW_ROWS)
     counts = ranked.groupBy(*by).agg(*_cells(threshold), _auc().alias("roc_auc"))
     one = _scores(1)
