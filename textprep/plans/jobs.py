@@ -27,12 +27,16 @@ from textprep.functions.labels import binary_label
 from textprep.functions.scores import softmax_prob
 from textprep.operators import audit, dedup, features, metrics, model, report, sequences, split
 from textprep.operators.compare import best_model, leaderboard
-from textprep.operators.prepare import prepare_rows, require_row_ids, resolve_text_column
+from textprep.operators.prepare import require_row_ids, resolve_text_column, staged_rows
 from textprep.operators.rows import settled, side_by_side
 from textprep.session import removes_staged, stage
 from textprep.sources import documents
 from textprep.sources.corpus import read_corpus, read_split, read_splits, resolve_split_dir, write_splits
 from textprep.sources.paths import join
+from textprep.sources.publish import published, settle
+
+
+ENCODED = "encoded.parquet"
 
 
 def split_kept(cleaned: DataFrame, groups: DataFrame, cfg: PrepConfig) -> DataFrame:
@@ -61,29 +65,29 @@ def prepare(
     A null or repeated ``row_id`` fails the job, since rows would be lost or
     come back by it. With ``multiline`` off a large CSV is read in parallel.
 
-    The cleaned texts are written once; counting, deduplication and the quotas
-    of the split then work on narrow columns of that table, and the texts move
-    once more when the survivors are taken.
+    The source is read once: the cleaned texts are written with what is needed to
+    count the rows that go. Deduplication and the quotas of the split then work on
+    narrow columns of that table, and the texts move once more when the survivors are
+    taken. Splits and report appear together, or the earlier ones stay.
     """
     raw = read_corpus(spark, source, row_id, multiline)
-    # Not observed on the way: models cannot be applied in a session that has observed.
-    rows_before = raw.count()
-    cleaned = stage(prepare_rows(raw, cfg), "cleaned")
+    cleaned, counts = staged_rows(raw, cfg)
+    rows_before = sum(counts.values())
     require_row_ids(cleaned)
     groups = stage(dedup.text_groups(cleaned), "text-groups")
     stats = dedup.dedup_stats(groups, cfg)
-    write_splits(split_kept(cleaned, groups, cfg), target, csv)
-
-    done = spark.read.parquet(join(target, "splits.parquet"))
-    funnel = stats.withColumn("rows_before_preprocessing", F.lit(rows_before)).withColumn(
-        "rows_dropped", F.lit(rows_before) - F.col("rows_after")
-    )
-    overlap = audit.split_overlap(audit.texts_by_split(done))
-    row = settled(report.build_report(report.split_label_table(done), overlap, cfg, funnel))
-    result = row.select("deduplication.rows_after", "num_samples.full").first()
-    if result["rows_after"] != result["full"]:
-        raise RuntimeError(f"{result['rows_after']} rows were to be kept, {result['full']} were written")
-    documents.write_json(row, join(target, REPORT_NAME))
+    with published(spark, target) as fresh:
+        write_splits(split_kept(cleaned, groups, cfg), fresh, csv)
+        done = spark.read.parquet(join(fresh, "splits.parquet"))
+        funnel = stats.withColumn("rows_before_preprocessing", F.lit(rows_before)).withColumn(
+            "rows_dropped", F.lit(rows_before) - F.col("rows_after")
+        )
+        overlap = audit.split_overlap(audit.texts_by_split(done))
+        row = settled(report.build_report(report.split_label_table(done), overlap, cfg, funnel))
+        result = row.select("deduplication.rows_after", "num_samples.full").first()
+        if result["rows_after"] != result["full"]:
+            raise RuntimeError(f"{result['rows_after']} rows were to be kept, {result['full']} were written")
+        documents.write_json(row, join(fresh, REPORT_NAME))
     return row
 
 
@@ -147,8 +151,6 @@ def train_tfidf_logreg(
         model.predict_prob(held_out, fitted, vocab, cfg, "text").select("split", "label", "prob"), "scores"
     )
     measured = metrics.evaluate_splits(scored, cfg.threshold).select("val_metrics", "test_metrics")
-    documents.save_classifier(fitted, vocab, model_dir)
-
     head = spark.range(1).select(
         F.lit(LINEAR_MODEL).alias("model"),
         F.lit(data_dir).alias("data_dir"),
@@ -172,7 +174,9 @@ def train_tfidf_logreg(
         _literals("train_shape", {"rows": train.count(), "features": vocab.count()}),
     )
     summary = settled(side_by_side(head, _packed(dropped, "dropped_eval_rows"), audits, measured))
-    documents.write_json(summary, join(model_dir, METRICS_NAME))
+    with published(spark, model_dir) as fresh:
+        documents.save_classifier(fitted, vocab, fresh)
+        documents.write_json(summary, join(fresh, METRICS_NAME))
     return summary
 
 
@@ -200,12 +204,6 @@ def encode_sequences(
     rows = stage(rows, "labelled-texts")
     train = rows.filter(F.col("split") == "train")
 
-    documents.save_word_vocab(sequences.sequence_vocab(train, cfg, "text"), model_dir)
-    vocab = documents.load_word_vocab(spark, model_dir)
-    encoded = sequences.encode(rows, vocab, cfg, "text").drop("text")
-    path = join(model_dir, "encoded.parquet")
-    encoded.write.mode("overwrite").partitionBy("split").parquet(path)
-
     weights = metrics.class_weights(train)  # one entry per class
     entries = F.array_sort(F.collect_list(F.struct(F.col("label").cast("string"), "weight")))
     summary = side_by_side(
@@ -228,8 +226,12 @@ def encode_sequences(
         audits,
         weights.agg(F.map_from_entries(entries).alias("class_weights")),
     )
-    documents.write_json(summary, join(model_dir, METRICS_NAME))
-    return spark.read.parquet(path)
+    with published(spark, model_dir) as fresh:
+        documents.save_word_vocab(sequences.sequence_vocab(train, cfg, "text"), fresh)
+        encoded = sequences.encode(rows, documents.load_word_vocab(spark, fresh), cfg, "text").drop("text")
+        encoded.write.mode("overwrite").partitionBy("split").parquet(join(fresh, ENCODED))
+        documents.write_json(summary, join(fresh, METRICS_NAME))
+    return spark.read.parquet(join(model_dir, ENCODED))
 
 
 @removes_staged
@@ -250,8 +252,9 @@ def evaluate_sequence_model(
     completed by the model's name, the threshold and the metrics, so that later
     scoring uses both. Returns the summary row.
     """
+    settle(spark, model_dir)
     path = join(model_dir, METRICS_NAME)
-    encoded = spark.read.parquet(join(model_dir, "encoded.parquet")).filter(F.col("split") != "train")
+    encoded = spark.read.parquet(join(model_dir, ENCODED)).filter(F.col("split") != "train")
     logits = model.score_batches(encoded, load_fn, predict_fn, ["split", "label"], batch_size)
     scored = stage(logits.select("split", "label", softmax_prob(F.col("logits")).alias("prob")), "scores")
     measured = metrics.evaluate_splits(scored, threshold)
@@ -262,7 +265,8 @@ def evaluate_sequence_model(
     row = side_by_side(spark.range(1).select(name), earlier, measured)
     used = F.col("hyperparameters").withField("threshold_used", F.col("threshold_used"))
     summary = settled(row.withColumn("hyperparameters", used).drop("threshold_used"))
-    documents.write_json(summary, path)
+    with published(spark, model_dir) as fresh:
+        documents.write_json(summary, join(fresh, METRICS_NAME))
     return summary
 
 

@@ -202,6 +202,26 @@ _JOB_SCORED = f"""{_JOB_ENCODED}, odds AS (SELECT label, split, (coalesce(list_s
 scores AS (SELECT label, split, exp(z - greatest(z, 0)) / (exp(0 - greatest(z, 0)) + exp(z - greatest(z, 0))) AS prob FROM odds),
 {_sweep("(SELECT * FROM scores WHERE split = 'val')")}"""
 
+_BY_ROW_NFKC = (
+    f"CASE doc_id % {len(NFKC_PAIRS)} " + " ".join(f"WHEN {i} THEN '{form}'" for i, (_, form) in enumerate(NFKC_PAIRS)) + " END"
+)
+# Probabilities of a classifier whose coefficients follow a rule.
+_GIVEN_ODDS = "coalesce(sum(w / norm * (((id * 7919) % 1000)::DOUBLE / 500.0::DOUBLE - 1.0::DOUBLE)), 0) + 0.25::DOUBLE AS z"
+_TRAIN_FEATURES = ", ".join(
+    [
+        _GRAMS.replace("FROM cleaned", "FROM done").replace(
+            "FROM per_row GROUP BY term", "FROM per_row JOIN (SELECT row_id FROM done WHERE split = 'train') USING (row_id) GROUP BY term"
+        ),
+        _VOCAB.replace("FROM cleaned", "FROM done WHERE split = 'train'"),
+        _WEIGHTS,
+    ]
+)
+
+
+def _at(threshold: str, scores: str) -> str:
+    return _counts(scores).replace("0.5::DOUBLE", threshold)
+
+
 SQL: dict[str, str] = {
     "clean_documents": f"SELECT doc_id AS row_id, {_clean('text')} AS clean_text FROM documents",
     "clean_pages_text": f"SELECT page_id, {_clean('html')} AS clean_text FROM pages",
@@ -236,10 +256,11 @@ SELECT (SELECT count(*) FROM raw) AS rows_before, (SELECT count(label) FROM coer
   FROM rows GROUP BY ALL""",
     "write_read_splits": f"WITH {_DONE} SELECT row_id, label, length(clean_text)::INT AS n_chars FROM done WHERE split = 'test'",
     "prepare_job": f"WITH {_DONE} SELECT row_id, label, split FROM done",
-    "na_tokens": f"""WITH v AS (SELECT doc_id AS row_id, {list((*NA_TOKENS, "na", "Null", " NA", "none", "text"))}[doc_id % {len(NA_TOKENS) + 5} + 1] AS value
+    "na_tokens": f"""WITH v AS (SELECT doc_id AS row_id, CASE WHEN doc_id % 3 = 0 THEN text
+  ELSE {list((*NA_TOKENS, "na", "Null", " NA", "none", "text"))}[doc_id % {len(NA_TOKENS) + 5} + 1] END AS value
   FROM documents) SELECT row_id, CASE WHEN value NOT IN {NA_TOKENS} THEN value END AS value FROM v""",
-    "nfkc_strings": "SELECT doc_id AS row_id, CASE doc_id % "
-    + f"{len(NFKC_PAIRS)} " + " ".join(f"WHEN {i} THEN '{form}'" for i, (_, form) in enumerate(NFKC_PAIRS)) + " END AS value FROM documents",
+    "nfkc_strings": f"SELECT doc_id AS row_id, {_BY_ROW_NFKC} AS value FROM documents",
+    "nfkc_texts": f"SELECT doc_id AS row_id, replace(text, ' ', ' ' || {_BY_ROW_NFKC}) AS value FROM documents",
     "report_document": f"""WITH {_DONE}, {_PARTS} SELECT part, count(*) AS num_samples,
   round(sum(length(clean_text))::DOUBLE / count(*), 6) AS mean_length, (SELECT count(*) FROM labelled) AS rows_read,
   (SELECT count(*) FROM labelled) - (SELECT count(*) FROM done) AS rows_dropped FROM parts GROUP BY part""",
@@ -310,6 +331,19 @@ SELECT term, count(*) AS tf, count(DISTINCT row_id) AS df FROM words GROUP BY te
         "CASE WHEN len(w) <= 500 THEN w ELSE list_concat(w[1:250], w[len(w) - 249:len(w)]) END"
     ),
     "encode_sequences_post": _encoded("w[1:500]"),
+    "score_sequences_job": f"""WITH {_JOB_SCORED}, tested AS (SELECT label, prob, thr FROM scores, best WHERE split = 'test'),
+{_at('thr', 'tested')} SELECT 'rnn_family' AS model_kind, 'test' AS split, tn + fp + fn + tp AS num_samples,
+  (SELECT round(thr, 6) FROM best) AS threshold_used, round({_ACC}, 6) AS accuracy, round({_F1}, 6) AS f1 FROM counts""",
+    "given_coefficients": f"""WITH {_FEATURES}, {_WEIGHTS}, odds AS (SELECT c.row_id, {_GIVEN_ODDS}
+  FROM cleaned c LEFT JOIN raw_weights USING (row_id) LEFT JOIN norms USING (row_id) GROUP BY c.row_id)
+SELECT row_id, round(1 / (1 + exp(-z)), 6) AS prob FROM odds""",
+    "saved_threshold": f"""WITH {_DONE}, {_TRAIN_FEATURES}, odds AS (SELECT d.row_id, d.label, {_GIVEN_ODDS}
+  FROM done d LEFT JOIN raw_weights USING (row_id) LEFT JOIN norms USING (row_id) WHERE d.split = 'test' GROUP BY d.row_id, d.label),
+tested AS (SELECT label, 1 / (1 + exp(-z)) AS prob FROM odds), {_at('0.55::DOUBLE', 'tested')}
+SELECT 'tfidf_logreg' AS model_kind, 'test' AS split, tn + fp + fn + tp AS num_samples, 0.55::DOUBLE AS threshold_used,
+  round({_ACC}, 6) AS accuracy, round({_F1}, 6) AS f1 FROM counts""",
+    "custom_metric": f"""WITH {_LARGE}, p AS (SELECT label, prob, greatest(least(prob, 1 - 1e-15::DOUBLE), 1e-15::DOUBLE) AS q FROM scores)
+SELECT round(-avg(CASE WHEN label = 1 THEN ln(q) ELSE ln(1 - q) END), 6) AS log_loss, round(avg((prob - label) * (prob - label)), 6) AS brier FROM p""",
     "score_batches": """WITH z AS (SELECT doc_id AS row_id, ((length(text) * 7919) % 1000)::DOUBLE / 250.0 - 2.0 AS z FROM documents)
 SELECT row_id, round(exp(z - greatest(z, 0)) / (exp(0 - greatest(z, 0)) + exp(z - greatest(z, 0))), 6) AS prob FROM z""",
 }

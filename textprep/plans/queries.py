@@ -8,17 +8,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textprep.config import NA_TOKENS, SPLITS, PrepConfig, SequenceConfig, TfidfConfig
+from textprep.config import METRICS_NAME, NA_TOKENS, SPLITS, PrepConfig, SequenceConfig, TfidfConfig
 from textprep.functions.clean import normalize_unicode, with_clean_text
 from textprep.functions.labels import coerce_label
 from textprep.functions.scores import softmax_prob
 from textprep.operators import audit, compare, dedup, features, metrics, model, report, sequences, split
+from textprep.operators.custom import Brier, LogLoss, custom_metrics
 from textprep.operators.prepare import prepare_rows, row_funnel
 from textprep.plans import jobs
 from textprep.plans.jobs import prepare, split_kept
 from textprep.session import spread, stage, staging_path
 from textprep.sources.corpus import na_to_null, read_corpus, read_split, read_splits, write_splits
-from textprep.sources.documents import load_classifier, read_json, read_results, read_summaries
+from textprep.sources.documents import (
+    load_classifier,
+    read_json,
+    read_results,
+    read_summaries,
+    save_classifier,
+    write_json,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -252,9 +260,11 @@ def _by_row(spark, sf_dir, values: tuple[str, ...]) -> DataFrame:
 
 
 def na_tokens(spark, sf_dir):
-    """What a CSV reader takes as missing, among strings that only look alike."""
+    """What a CSV reader takes as missing, among whole texts and strings that only look alike."""
     looks = (*NA_TOKENS, "na", "Null", " NA", "none", "text")
-    return na_to_null(_by_row(spark, sf_dir, looks))
+    rows = _by_row(spark, sf_dir, looks).join(_documents(spark, sf_dir).select("row_id", "text"), "row_id")
+    value = F.when(F.col("row_id") % 3 == 0, F.col("text")).otherwise(F.col("value"))
+    return na_to_null(rows.select("row_id", value.alias("value")))
 
 
 def nfkc_strings(spark, sf_dir):
@@ -262,6 +272,13 @@ def nfkc_strings(spark, sf_dir):
     return rows.select("row_id", normalize_unicode(F.col("value")).alias("value"))
 
 
+def nfkc_texts(spark, sf_dir):
+    """Whole texts with characters that NFKC changes put in after each blank."""
+    rows = _by_row(spark, sf_dir, tuple(raw for raw, _ in NFKC_PAIRS)).join(_documents(spark, sf_dir).select("row_id", "text"), "row_id")
+    mixed = F.replace(F.col("text"), F.lit(" "), F.concat(F.lit(" "), F.col("value")))
+    return rows.select("row_id", normalize_unicode(mixed).alias("value"))
+
+
 def _prepared_folder(spark, sf_dir) -> str:
     """The folder the preparation job wrote from the labelled corpus."""
     folder = staging_path(spark, "prepared")
@@ -630,6 +647,54 @@ def training_table(spark, sf_dir):
     return _rounded(table.drop("source_file"), *compare.METRICS)
 
 
+def score_sequences_job(spark, sf_dir):
+    """The test split scored with the threshold and settings that the summary holds."""
+
+    def predict(scale, rows):
+        return [[0.0, sum(ids) % 1000 / scale - 2.0] for ids in rows["ids"]]
+
+    words = _evaluated(spark, sf_dir).rsplit("/", 1)[0]
+    folder = words.rsplit("/", 1)[0]
+    target = f"{folder}/sequences.json"
+    jobs.score_sequences_and_evaluate(spark, folder, words, target, lambda: 250.0, predict)
+    return _figures(read_results(spark, [target]))
+
+
+def _figures(results: DataFrame) -> DataFrame:
+    named = results.select("model_kind", "split", "num_samples", "threshold_used", "metrics.accuracy", "metrics.f1")
+    return _rounded(named, "threshold_used", "accuracy", "f1")
+
+
+def _given_model(spark, vocab: DataFrame):
+    """A classifier whose coefficients follow a rule, in place of fitted ones."""
+    size = vocab.count()
+    return model.linear_model(spark, [(i * 7919 % 1000) / 500.0 - 1.0 for i in range(size)] + [0.25])
+
+
+def given_coefficients(spark, sf_dir):
+    """Probabilities of a linear classifier with known coefficients."""
+    rows, vocab = _fitted(spark, sf_dir)
+    scored = model.predict_prob(rows.select("row_id", "clean_text"), _given_model(spark, vocab), vocab, TFIDF)
+    return _rounded(scored.select("row_id", "prob"), "prob")
+
+
+def saved_threshold(spark, sf_dir):
+    """A saved classifier scores the test split at the threshold saved with it."""
+    folder = _prepared_folder(spark, sf_dir)
+    vocab = stage(features.tfidf_vocab(read_split(spark, folder, "train"), TFIDF), "vocabulary")
+    save_classifier(_given_model(spark, vocab), vocab, f"{folder}/model")
+    saved = F.struct(F.lit(0.55).alias("threshold"), F.lit(1).alias("ngram_min"), F.lit(3).alias("ngram_max"))
+    write_json(spark.range(1).select(saved.alias("hyperparameters")), f"{folder}/model/{METRICS_NAME}")
+    jobs.score_and_evaluate(spark, folder, f"{folder}/model", f"{folder}/result.json")
+    return _figures(read_results(spark, [f"{folder}/result.json"]))
+
+
+def custom_metric(spark, sf_dir):
+    """Log loss and Brier score as metrics of the caller."""
+    found = custom_metrics(_scores_large(spark, sf_dir), {"log_loss": LogLoss(), "brier": Brier()})
+    return _rounded(found, "log_loss", "brier")
+
+
 def score_batches(spark, sf_dir):
     """Any model of the caller, here one scoring a text by its length."""
 
@@ -667,6 +732,7 @@ REGISTRY: dict[str, Query] = {
     "prepare_job": prepare_job,
     "na_tokens": na_tokens,
     "nfkc_strings": nfkc_strings,
+    "nfkc_texts": nfkc_texts,
     "report_document": report_document,
     "split_overlap": split_overlap,
     "split_stats": split_stats,
@@ -702,5 +768,9 @@ REGISTRY: dict[str, Query] = {
     "encode_job": encode_job,
     "evaluate_job": evaluate_job,
     "training_table": training_table,
+    "score_sequences_job": score_sequences_job,
+    "given_coefficients": given_coefficients,
+    "saved_threshold": saved_threshold,
+    "custom_metric": custom_metric,
     "score_batches": score_batches,
 }
