@@ -17,6 +17,13 @@ def in_fold(doc_id: Column, folds: int, held: int) -> Column:
     return F.coalesce(fold(doc_id, folds) == held, F.lit(False))
 
 
+def window(text: str, doc_id: str, most: int) -> Column:
+    """The text, or of a longer one ``most`` characters from a place drawn by the id."""
+    places = F.length(text) - most + 1
+    start = F.pmod(F.xxhash64(doc_id, F.lit("place")), places).cast("int") + 1
+    return F.when(F.length(text) > most, F.substring(F.col(text), start, F.lit(most))).otherwise(F.col(text))
+
+
 def labelled_sample(
     docs: DataFrame,
     labels: DataFrame,
@@ -29,9 +36,11 @@ def labelled_sample(
     """(text, label) of at most ``per_class`` documents of each class.
 
     They come from the folds that are not held out and have the smallest hashes
-    of their ids. Texts that are null or longer than ``max_chars`` characters
-    are not trained on. Of contradicting labels of one document the larger
-    counts. With the sample comes how many documents each class has in all. Only the chosen ids, a bounded number, are broadcast to the scan.
+    of their ids. Of a text longer than ``max_chars`` characters a window of that
+    length is learned, at a place drawn by the id; null texts are not learned. Of
+    contradicting labels of one document the larger counts. With the sample comes
+    how many documents each class has in all. Only the chosen ids, a bounded number,
+    are broadcast to the scan.
     """
     known = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -46,7 +55,7 @@ def labelled_sample(
         mine = known.filter(F.col("label") == value)
         chosen += [(r["doc_id"], value) for r in mine.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id").collect()]
     ids = spark.createDataFrame(chosen or [(None, 0)], "doc_id bigint, label int")
-    texts = docs.select("doc_id", "text").filter(F.length("text") <= max_chars)
+    texts = docs.select("doc_id", window("text", "doc_id", max_chars).alias("text")).filter(F.col("text").isNotNull())
     found = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text").collect()
     return [(r["text"], r["label"]) for r in sorted(found, key=lambda r: (r["doc_id"], r["text"]))], sizes
 

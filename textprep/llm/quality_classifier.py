@@ -67,9 +67,9 @@ def score_quality(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted (score >= 0.7).
 
-    The model learns from at most ``train[label]`` documents of each class of at
-    most ``max_chars`` characters, none of them in the held-out fold; scoring
-    takes whole texts. Null and empty texts have neither difference nor size and
+    The model learns from at most ``train[label]`` documents of each class, none of
+    them in the held-out fold, and of longer texts from a window of ``max_chars``
+    characters; scoring takes whole texts. Null and empty texts have neither difference nor size and
     get the score those measures give. Without labels every score is near 0.
     Repeated rows score alike; extra columns are ignored; an empty table gives
     an empty result.
