@@ -74,13 +74,15 @@ def exact_duplicates(
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", salts: int = SALTS) -> DataFrame:
     """The rows of ``docs``, all columns, that ``exact_duplicates`` keeps.
 
-    Of repeated rows with one id and text, the first by its other columns stays.
+    Of repeated rows with one id and text, the first by its other columns, written as
+    JSON, stays; columns of any type are allowed. An empty table stays empty.
     """
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
     stay = exact_duplicates(docs, doc_id, text, salts).filter("kept")
     stay = stay.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_key"), F.col("text_sha256").alias("_sha"))
     row = docs.select(F.struct("*").alias("_row"), key.alias("_key"), F.sha2(normalised(F.col(text)), 256).alias("_sha"))
     found = row.join(stay, ["_key", "_sha"])
-    others = [F.col("_row")[c] for c in docs.columns if c not in (doc_id, text)]
-    turn = F.row_number().over(Window.partitionBy("_key", "_sha").orderBy(*others, F.col("_row")[text]))
+    others = [F.col("_row")[c].alias(c) for c in docs.columns if c not in (doc_id, text)]
+    written = [F.to_json(F.struct(*others))] if others else []
+    turn = F.row_number().over(Window.partitionBy("_key", "_sha").orderBy(*written, F.col("_row")[text]))
     return found.withColumn("_turn", turn).filter("_turn = 1").select("_row.*")
