@@ -40,12 +40,13 @@ PAIRS = 1 << 18
 TILE = 1 << 10
 # A tile with so many occurrences in a buffer is counted densely.
 DENSE_FROM = TILE * TILE // 32
-BUFFER = 4_000_000
-# Distinct words a task holds before it sends them on.
-HELD_WORDS = 300_000
+BUFFER = 2_000_000
+# Rows that are sent at once, and distinct words a task holds before it sends them.
+SENT_ROWS = 100_000
+HELD_WORDS = 100_000
 # Groups that share the work of a language's ranking.
 SALTS = 64
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 UNKNOWN = "und"
 
@@ -89,7 +90,7 @@ _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def _chunks(batch: pa.RecordBatch, seed: int) -> Iterator[tuple[_Words, list[str]]]:
-    """The words of a batch, about a megabyte of text at a time, with the languages."""
+    """The words of a batch, about half a megabyte of text at a time, with the languages."""
     langs = [x if x is not None else UNKNOWN for x in batch.column("lang").to_pylist()]
     codes = {x: int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in set(langs)}
     salts = np.array([codes[x] for x in langs], np.uint64)
@@ -166,26 +167,38 @@ def _runs(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
 def counted(left: np.ndarray, right: np.ndarray, width: int, tile: int = TILE, dense_from: int = DENSE_FROM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs of ranks (left, right) with their counts, tile by tile."""
     across = -(-width // tile)
-    place = (left // tile) * across + right // tile
-    order = np.argsort(place, kind="stable")
-    place, left, right = place[order], left[order], right[order]
-    edges = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]])) if len(place) else np.zeros(1, np.int64)
-    found, thin = [], np.ones(len(place), bool)
-    for start, stop in zip(edges[:-1], edges[1:]):
+    place = left // left.dtype.type(tile) * left.dtype.type(across) + right // right.dtype.type(tile)
+    # Few tiles are told apart by 16 bits, which are sorted in one sweep each.
+    order = np.argsort(place.astype(np.uint16) if place.max(initial=0) < 1 << 16 else place, kind="stable")
+    del place
+    left, right = left[order], right[order]
+    del order
+    rows, columns = left // tile, right // tile
+    new = np.ones(len(left), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (columns[1:] != columns[:-1])
+    edges = np.append(np.flatnonzero(new), len(left))
+    del rows, columns, new
+    found, thin = [], np.ones(len(left), bool)
+    for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist()):
         if stop - start < dense_from:
             continue
         thin[start:stop] = False
-        base = (left[start] // tile * tile, right[start] // tile * tile)
-        table = np.bincount((left[start:stop] - base[0]) * tile + right[start:stop] - base[1])
+        base = (int(left[start]) // tile * tile, int(right[start]) // tile * tile)
+        inside = (left[start:stop] - left.dtype.type(base[0])) * left.dtype.type(tile) + (right[start:stop] - right.dtype.type(base[1]))
+        table = np.bincount(inside)
         at = np.flatnonzero(table)
         found.append((base[0] + at // tile, base[1] + at % tile, table[at]))
-    code, n = np.unique(left[thin] * width + right[thin], return_counts=True)
+    code, n = np.unique(left[thin].astype(np.uint64) * np.uint64(width) + right[thin], return_counts=True)
+    code = code.astype(np.int64)
     found.append((code // width, code % width, n))
-    return tuple(np.concatenate(x) for x in zip(*found))
+    return tuple(np.concatenate(x).astype(np.int64) for x in zip(*found))
 
 
 class _Tally:
-    """Buffered occurrences of (left, right): by rank where both have one, else spelled out."""
+    """Buffered occurrences of (left, right): by rank where both have one, else spelled out.
+
+    A buffered pair of ranks takes eight bytes.
+    """
 
     def __init__(self, spell: Callable, width: int, names: list[str]):
         self.spell, self.width, self.names = spell, width, names
@@ -195,7 +208,7 @@ class _Tally:
 
     def add(self, left: np.ndarray, right: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         dense = (left >= 0) & (right >= 0)
-        self.ranked.append((left[dense], right[dense]))
+        self.ranked.append((left[dense].astype(np.uint32), right[dense].astype(np.uint32)))
         self.loose.append([c[~dense] for c in columns])
         self.held += len(left)
         if self.held >= BUFFER:
@@ -204,14 +217,16 @@ class _Tally:
     def sent(self) -> Iterator[pa.RecordBatch]:
         if not self.held:
             return
-        left, right, n = counted(*(np.concatenate(x) for x in zip(*self.ranked)), self.width)
-        yield self._batch([*self.spell(left), right], n)
-        loose, n = _runs([np.concatenate(x) for x in zip(*self.loose)])
-        yield self._batch(loose, n)
+        ranked, loose = ([np.concatenate(x) for x in zip(*rows)] for rows in (self.ranked, self.loose))
         self.ranked, self.loose, self.held = [], [], 0
-
-    def _batch(self, columns: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, n)], names=[*self.names, "n"])
+        left, right, n = counted(*ranked, self.width)
+        yield from self._batches([*self.spell(left), right], n)
+        yield from self._batches(*_runs(loose))
+
+    def _batches(self, columns: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(n), SENT_ROWS):
+            part = [pa.array(c[start : start + SENT_ROWS]) for c in (*columns, n)]
+            yield pa.RecordBatch.from_arrays(part, names=[*self.names, "n"])
 
 
 def _numbers(words: _Words, ranks: _Ranks, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
