@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from textprep.llm import minhash, overlap
+from textprep.llm import groups, minhash, overlap
 from test_operators import brute_components
 
 SCHEMA = "doc_id bigint, text string, a string, b int, component string, thing int"
@@ -31,7 +31,7 @@ def test_against_brute_force(spark, size, percent):
 
 
 def test_large_groups_and_odd_rows(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK_MEMBERS", 8)
+    monkeypatch.setattr(groups, "CELL_SHINGLES", 1500)
     monkeypatch.setattr(minhash, "BLOCK_SIGNATURES", 16)
     monkeypatch.setattr(overlap, "BLOCK_SHINGLES", 2000)
     rng = random.Random(5)

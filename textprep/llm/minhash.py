@@ -11,10 +11,11 @@
 
 Equal sets are combined first and linked through their smallest id. Of two documents
 in a band both are a pair. Larger groups are first paired with their most central
-member, the one with most bands in such groups: an original is more central than its
-copies. Once components are known, only pairs of different components are left, and
-these all go through steps 2 and 3. So a group of thousands of near copies costs its
-size, and no candidate link between different components is left out.
+member, whose groups hold most documents: an original is more central than its copies.
+Once components are known, members of such groups that are in different ones go through
+steps 2 and 3 as well, until nothing more can connect (``groups``). So a group of
+thousands of near copies costs its size, and no candidate link between different
+components is left out.
 
 Groups are found by counting band keys with partial aggregation, so a hot key costs
 a row per task; only members of groups of three and more travel themselves.
@@ -32,22 +33,22 @@ from pyspark.sql import functions as F
 from textprep.llm.bitmap import held as may_hold
 from textprep.llm.bitmap import marked
 from textprep.llm.components import connected_components
-from textprep.llm.overlap import in_cells, overlap_needed, similar_pairs
+from textprep.llm.groups import cross_links, equal_sets, families, possible, starred
+from textprep.llm.overlap import in_cells, may_need, similar_pairs
 from textprep.llm.shingles import mix, shingle_sets
 from textprep.operators.skew import lookup
-from textprep.session import stage
+from textprep.session import discard, stage
 
 BANDS = 32
 ROWS = 5
 BATCH = 16
 MISS = 1e-9
-# Equal sets are combined per salt first, so that no task looks up a hot set alone.
-SALTS = 32
-# Signatures in a block of compared pairs, and members of a group in a block.
+# Signatures in a block of compared pairs.
 BLOCK_SIGNATURES = 1024
-BLOCK_MEMBERS = 512
 _CHUNK = 1 << 16
-_PAIRS = 1 << 18
+_PAIRS = 1 << 17
+# Texts whose sets a task holds at once.
+_ROWS = 500
 
 
 def _constants(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +102,7 @@ def least_agreements(percent: int, count: int = BANDS * ROWS, batch: int = BATCH
 
 def _signed_sets(size: int, count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, _ROWS) for b in batches for i in range(0, b.num_rows, _ROWS)):
             sets = list(shingle_sets(batch.column("text"), size))
             one = [s.sum(dtype=np.uint64) for s in sets]
             two = [np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))) if len(s) else np.uint64(0) for s in sets]
@@ -135,20 +136,15 @@ def _banded(bands: int, rows: int):
 
 
 def _in_groups(bands: int, rows: int, found):
-    """The bands that may be in a larger group; ``central`` counts them per document."""
+    """The bands that may be in a larger group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = band_keys(_minima(batch.column("thing"), bands * rows), bands, rows)
             hit = may_hold(found.value, keys.ravel()).reshape(keys.shape)
-            at = np.flatnonzero(hit.any(axis=1))
-            counts = hit.sum(axis=1)
-            own = np.repeat(at, counts[at])
+            own = np.nonzero(hit)[0]
             columns = [batch.column(c).to_numpy(zero_copy_only=False)[own] for c in ("doc_id", "n")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[hit]), *(pa.array(c) for c in columns), pa.array(counts[own].astype(np.int32))],
-                names=["key", "doc_id", "n", "central"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), *(pa.array(c) for c in columns)], names=["key", "doc_id", "n"])
 
     return run
 
@@ -169,9 +165,20 @@ def likely(minima: np.ndarray, x: np.ndarray, y: np.ndarray, least: dict[int, in
     return stay
 
 
-def _close(percent: int, n, m):
-    """Whether the sizes allow the similarity."""
-    return np.minimum(n, m) >= overlap_needed(percent, n, m)
+def _pruning(percent: int, count: int):
+    """For the sets of a cell: the likely partners of one of them, the likeliest first."""
+
+    def prune(sets: list[np.ndarray]):
+        minima, least = signatures(sets, count), least_agreements(percent, count)
+
+        def rank(one: int, partners: np.ndarray) -> np.ndarray:
+            partners = partners[likely(minima, np.full(len(partners), one), partners, least)]
+            agree = (minima[partners] == minima[one]).sum(axis=1)
+            return partners[np.argsort(-agree, kind="stable")]
+
+        return rank
+
+    return prune
 
 
 def _verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, size: int, percent: int, count: int, name: str) -> DataFrame:
@@ -179,87 +186,18 @@ def _verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, size: int, p
     least = least_agreements(percent, count)
 
     def compare(x: np.ndarray, y: np.ndarray, n: np.ndarray, things: pa.Array) -> np.ndarray:
-        stay = _close(percent, n[x], n[y])
+        stay = possible(percent, n[x], 0, n[y], 0)
         stay[stay] = likely(_minima(things, count), x[stay], y[stay], least)
         return stay
 
     one = F.lit(1).cast("bigint")
     weighed = pairs.select("a", one.alias("n_a"), "b", one.alias("n_b"))
-    things = signed.select("doc_id", "n", "thing")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    things = may_need(signed.select("doc_id", "n", "thing"), ids)
     survivors = in_cells(weighed, things, compare, BLOCK_SIGNATURES, "n", f"{name}-likely")
     return similar_pairs(docs, survivors, size, percent, f"{name}-similar").select("a", "b")
 
 
-def _cross(percent: int):
-    """Per cell of a group: pairs of its outsiders with the other members of the cell."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _cells(batches):
-            doc, n, root, role, owner = (rows[c] for c in ("doc_id", "n", "root", "role", "owner"))
-            for o in np.flatnonzero(role & 1):
-                # Two outsiders meet in each other's cells: the smaller id takes the pair.
-                partner = (root != root[o]) & owner & ((role & 2 == 0) | (doc > doc[o])) & _close(percent, n, n[o])
-                other = doc[partner]
-                if len(other):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(other, doc[o])), pa.array(np.maximum(other, doc[o]))], names=["a", "b"]
-                    )
-
-    return run
-
-
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """The rows of one cell at a time, out of batches sorted by cell."""
-    held: list[pa.RecordBatch] = []
-    names = ("doc_id", "n", "root", "role", "owner")
-
-    def whole() -> dict[str, np.ndarray]:
-        return {c: np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]) for c in names}
-
-    for batch in batches:
-        cell = batch.column("cell").to_numpy()
-        edges = np.concatenate([[0], np.flatnonzero(np.diff(cell)) + 1, [len(cell)]])
-        for start, stop in zip(edges[:-1], edges[1:]):
-            if held and held[-1].column("cell")[0].as_py() != cell[start]:
-                yield whole()
-                held = []
-            if stop > start:
-                held.append(batch.slice(start, stop - start))
-    if held:
-        yield whole()
-
-
-def _cross_pairs(crowd: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a group whose components differ, in cells of bounded size.
-
-    The members of the component that is largest in a group lie in one cell each
-    per block of outsiders; outsiders, all others, lie in every cell of their block.
-    """
-    rooted = crowd.join(roots.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-    rooted = stage(rooted.select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("root")), "minhash-rooted")
-    per_root = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
-    top = F.max(F.struct("m", "root"))
-    mixed = per_root.groupBy("key").agg(top["root"].alias("top"), F.sum("m").alias("m"), (F.sum("m") - top["m"]).alias("out"))
-    everywhere = stage(mixed.withColumn("mixed", F.col("out") > 0), "minhash-groups")
-    facts = everywhere.select("key", "m", *[F.when(F.col("mixed"), F.col(c)).alias(c) for c in ("top", "out")])
-    met = lookup(rooted, facts.withColumnRenamed("m", "_m"), "key", ["top", "out", "_m"], "doc_id", "_m").filter("top is not null")
-    columns, lines = (F.ceil(F.col(c) / BLOCK_MEMBERS).cast("int") for c in ("_m", "out"))
-    outsider = F.col("root") != F.col("top")
-    column, line = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), count).cast("int") for seed, count in ((1, columns), (2, lines)))
-    marked = met.withColumn("own_column", column).withColumn("own_line", line).withColumn("outsider", outsider)
-    # Every member meets, in its own column, the outsiders of every line.
-    as_member = marked.select("*", F.explode(F.sequence(F.lit(0), lines - 1)).alias("line")).withColumn("column", F.col("own_column"))
-    as_outsider = marked.filter("outsider").select("*", F.explode(F.sequence(F.lit(0), columns - 1)).alias("column"))
-    as_outsider = as_outsider.withColumn("line", F.col("own_line"))
-    both = as_member.withColumn("part", F.lit(0)).unionByName(as_outsider.withColumn("part", F.lit(1)))
-    cells = both.groupBy("key", "column", "line", "doc_id", "n", "root", "outsider").agg(
-        F.max(F.col("part") == 1).alias("meets"), F.max(F.col("part") == 0).alias("owner")
-    )
-    role = F.col("meets").cast("int") + 2 * F.col("outsider").cast("int")
-    dealt = cells.select(F.xxhash64("key", "column", "line").alias("cell"), "doc_id", "n", "root", role.alias("role"), "owner")
-    return dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(_cross(percent), "a bigint, b bigint").distinct()
-
-
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -284,41 +222,32 @@ def near_duplicates(
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id bigint, n bigint, k1 bigint, k2 bigint, thing binary"
     sets = stage(texts.mapInArrow(_signed_sets(size, count), schema), "minhash-sets")
-    held = sets.filter("n > 0 and doc_id is not null").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    key = ["k1", "k2", "n"]
-    salted = held.groupBy(*key, "salt").agg(F.min("doc_id").alias("low"))
-    least = salted.groupBy(*key).agg(F.min("low").alias("b"), F.collect_list("salt").alias("salts"))  # SALTS at most
-    classes = least.select(*key, "b", F.explode("salts").alias("salt"))
-    copies = held.select("doc_id", *key, "salt").join(classes, [*key, "salt"]).select(F.col("doc_id").alias("a"), "b")
-    copies = stage(copies.filter("a <> b").distinct(), "minhash-copies")
-    own = least.select(F.col("b").alias("doc_id"), *key)
-    signed = stage(held.join(own, ["doc_id", *key]).select("doc_id", "n", "thing").dropDuplicates(["doc_id", "n", "thing"]), "minhash-signed")
+    held = sets.filter("n > 0 and doc_id is not null")
+    copies, own = equal_sets(held, ["k1", "k2", "n"], "minhash")
+    signed = held.join(own, ["doc_id", "k1", "k2", "n"]).select("doc_id", "n", "thing").dropDuplicates(["doc_id", "n", "thing"])
+    signed = stage(signed, "minhash-signed")
 
     keyed = signed.mapInArrow(_banded(bands, rows), "key bigint, doc_id bigint")
     groups = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
     groups = stage(groups.filter("m > 1"), "minhash-bands")
     large = groups.filter("m > 2")
     found = docs.sparkSession.sparkContext.broadcast(marked(large, "key"))
-    crowd = stage(
-        signed.mapInArrow(_in_groups(bands, rows, found), "key bigint, doc_id bigint, n bigint, central int"), "minhash-crowd"
-    )
-    # A band whose key only looks like one of a larger group forms a group of its own.
-    lead = F.max(F.struct("central", "doc_id"))
-    leaders = stage(crowd.groupBy("key").agg(lead["doc_id"].alias("leader"), F.count(F.lit(1)).alias("m")), "minhash-leaders")
-    starred = lookup(crowd, leaders, "key", ["leader"], "doc_id", "m").select(
-        F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")
-    )
-    two = groups.filter("m = 2").select("a", "b")
-    pairs = stage(two.unionByName(starred).filter("a <> b").distinct(), "minhash-pairs")
+    crowd = signed.mapInArrow(_in_groups(bands, rows, found), "key bigint, doc_id bigint, n bigint")
+    # The members of larger groups, and how many documents each group has.
+    met = lookup(crowd, large.select("key", "m"), "key", ["m"], "doc_id", "m").filter("m is not null")
+    met = stage(met, "minhash-members")
+    central = met.groupBy("doc_id").agg(F.sum("m").alias("central"))
+    crowd = stage(met.drop("m").join(central, "doc_id"), "minhash-crowd")
+    family = families(crowd, "minhash")
+    two = groups.filter("m = 2 and a <> b").select("a", "b")
+    pairs = stage(two.unionByName(starred(family).select("a", "b")).distinct(), "minhash-pairs")
+    discard(met, crowd)
     similar = _verified(texts, signed, pairs, size, percent, count, "minhash")
     roots = stage(connected_components(similar.unionByName(copies)), "minhash-roots")
-
-    left = stage(_cross_pairs(crowd, roots, percent).join(pairs, ["a", "b"], "left_anti"), "minhash-cross")
-    if not left.isEmpty():
-        more = _verified(texts, signed, left, size, percent, count, "minhash-cross")
-        roots = stage(
-            connected_components(roots.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), "minhash-roots"
-        )
+    more = cross_links(texts, family, roots, size, percent, "minhash", _pruning(percent, count))
+    if not more.isEmpty():
+        known = roots.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        roots = stage(connected_components(known.unionByName(more)), "minhash-roots")
     component = F.coalesce("component", "doc_id")
     return (
         sets.select("doc_id", F.col("n").alias("n_shingles"))

@@ -26,7 +26,7 @@ from textprep.session import stage
 
 PAIR = "a bigint, n_a bigint, b bigint, n_b bigint"
 # N-grams of the documents of one block; a longer document is a block of its own.
-BLOCK_SHINGLES = 1_000_000
+BLOCK_SHINGLES = 500_000
 _PIECE = 1 << 20
 
 
@@ -75,7 +75,8 @@ def in_cells(pairs: DataFrame, things: DataFrame, compare: Callable, capacity: i
     cell = F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b"))
     celled = stage(celled.select(cell.alias("cell"), "a", "b"), f"{found_in}-cells")
     wanted = celled.select("cell", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    brought = things.join(wanted, "doc_id").select(F.col("cell").alias("place"), "doc_id", "n", "thing")
+    # The same join at every size: what is small now would be broadcast otherwise.
+    brought = things.join(wanted.hint("merge"), "doc_id").select(F.col("cell").alias("place"), "doc_id", "n", "thing")
 
     def run(key: tuple, some: pa.Table, held: pa.Table) -> pa.Table:
         a, b = (some.column(c).to_numpy() for c in "ab")
@@ -118,7 +119,7 @@ def _packed(found: np.ndarray):
     return run
 
 
-def _sets(things: pa.Array, size: int) -> Iterator[np.ndarray]:
+def sets_of(things: pa.Array, size: int) -> Iterator[np.ndarray]:
     """The sets of shingles of compressed texts, a bounded number of bytes at a time."""
     coder, some, held = zstandard.ZstdDecompressor(), [], 0
     for thing in things:
@@ -131,38 +132,68 @@ def _sets(things: pa.Array, size: int) -> Iterator[np.ndarray]:
         yield from shingle_sets(pa.array(some, pa.binary()), size)
 
 
-def product(x: np.ndarray, y: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """Whether the overlap of the pairs of sets (x, y) reaches the bound.
+class Incidence:
+    """Sets as the rows of a sparse matrix over the n-grams of a cell."""
 
-    The sets are rows of a sparse matrix over the n-grams of the cell. Row by row
-    it is multiplied with the rows of its partners.
-    """
-    sizes = np.array([len(s) for s in sets], np.int64)
-    grams, column = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_inverse=True)
-    first = np.concatenate([[0], np.cumsum(sizes)])
-    bound = overlap_needed(percent, sizes[x], sizes[y])
-    possible = np.flatnonzero((np.minimum(sizes[x], sizes[y]) >= bound) & (bound > 0))
-    order = possible[np.argsort(x[possible], kind="stable")]
-    similar = np.zeros(len(x), bool)
-    row = np.zeros(len(grams), np.int64)
-    for part in np.split(order, np.flatnonzero(np.diff(x[order])) + 1):
-        if not len(part):
-            continue
-        mine = column[first[x[part[0]]] : first[x[part[0]] + 1]]
-        row[mine] = 1
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        grams, self.column = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_inverse=True)
+        self.first = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.row = np.zeros(len(grams), np.int64)
+
+    def _columns(self, i: int) -> np.ndarray:
+        return self.column[self.first[i] : self.first[i + 1]]
+
+    def overlaps(self, i: int, partners: np.ndarray) -> np.ndarray:
+        """Row ``i``, spread out over the n-grams, times the rows of its partners (not empty)."""
+        out = np.empty(len(partners), np.int64)
+        self.row[self._columns(i)] = 1
         start = 0
-        while start < len(part):  # partners whose rows are multiplied at once
-            ends = np.cumsum(sizes[y[part[start:]]])
-            some = part[start : start + max(1, int(np.searchsorted(ends, BLOCK_SHINGLES, side="right")))]
-            partners = [column[first[j] : first[j + 1]] for j in y[some]]
+        while start < len(partners):  # the rows that are multiplied at once
+            ends = np.cumsum(self.sizes[partners[start:]])
+            some = partners[start : start + max(1, int(np.searchsorted(ends, BLOCK_SHINGLES, side="right")))]
             at = np.concatenate([[0], ends[: len(some) - 1]])
-            overlaps = np.add.reduceat(row[np.concatenate(partners)], at)
-            similar[some] = overlaps >= bound[some]
+            out[start : start + len(some)] = np.add.reduceat(self.row[np.concatenate([self._columns(j) for j in some])], at)
             start += len(some)
-        row[mine] = 0
+        self.row[self._columns(i)] = 0
+        return out
+
+
+def product(x: np.ndarray, y: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether the overlap of the pairs of sets (x, y) reaches the bound."""
+    rows = Incidence(sets)
+    bound = overlap_needed(percent, rows.sizes[x], rows.sizes[y])
+    can = np.flatnonzero((np.minimum(rows.sizes[x], rows.sizes[y]) >= bound) & (bound > 0))
+    order = can[np.argsort(x[can], kind="stable")]
+    similar = np.zeros(len(x), bool)
+    for part in np.split(order, np.flatnonzero(np.diff(x[order])) + 1):
+        if len(part):
+            similar[part] = rows.overlaps(int(x[part[0]]), y[part]) >= bound[part]
     return similar
 
 
+def may_need(things: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``things`` with at least these ids, told by a filter of fixed size."""
+    found = things.sparkSession.sparkContext.broadcast(marked(ids, "doc_id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(may_hold(found.value, ids)))
+
+    return things.mapInArrow(run, things.schema)
+
+
+def packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and compressed text (``thing``) of at least the documents with these ids."""
+    found = docs.sparkSession.sparkContext.broadcast(marked(ids, "doc_id"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _packed(found.value)(batches)
+
+    return docs.select("doc_id", "text").mapInArrow(pack, "doc_id bigint, thing binary")
+
+
 def similar_pairs(docs: DataFrame, pairs: DataFrame, size: int, percent: int, found_in: str = "similar") -> DataFrame:
     """The pairs whose sets A and B of shingles hold 100 |A and B| >= percent |A or B|.
 
@@ -170,16 +201,10 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, size: int, percent: int, fo
     Of all texts only those that a pair may need leave their task, compressed. Of
     rows that repeat an id, one that is similar is enough.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    found = docs.sparkSession.sparkContext.broadcast(marked(ids, "doc_id"))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _packed(found.value)(batches)
-
-    packed = docs.select("doc_id", "text").mapInArrow(pack, "doc_id bigint, thing binary")
+    packed = packed_texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
 
     def compare(x: np.ndarray, y: np.ndarray, n: np.ndarray, things: pa.Array) -> np.ndarray:
-        return product(x, y, list(_sets(things, size)), percent)
+        return product(x, y, list(sets_of(things, size)), percent)
 
     things = packed.withColumn("n", F.lit(0).cast("bigint"))
     return in_cells(pairs, things, compare, BLOCK_SHINGLES, "n", found_in)
