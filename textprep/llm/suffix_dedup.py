@@ -26,10 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textprep.llm import shingles
+from textprep.llm.bitmap import held as may_hold
+from textprep.llm.bitmap import marked as marked_keys
 from textprep.llm.suffix_sort import sort_strings
 from textprep.session import stage
 
@@ -42,7 +45,8 @@ SAMPLE = 16
 HELD_STRINGS = 100_000
 BATCH_ROWS = 20_000
 CHUNK_ROWS = 4_000
-BROADCAST_SPANS = 2_000_000
+UNPACKED_ROWS = 5_000
+BROADCAST_ANCHORS = 2_000_000
 
 CONTEXT = "kind tinyint, cell bigint, low int, high int, doc_id bigint, mark bigint, at bigint, stop bigint, before int, context binary"
 
@@ -386,7 +390,7 @@ def repeated_spans(
         "shared-anchors",
     )
     hot = _hot_cells(rows, [r[0] for r in shared.filter("hot").select("hash").collect()], length, size)
-    few = shared.count() <= BROADCAST_SPANS
+    few = shared.count() <= BROADCAST_ANCHORS
     spots = (
         marked.join(F.broadcast(shared) if few else shared, "hash")
         .groupBy("doc_id", "mark")
@@ -394,8 +398,8 @@ def repeated_spans(
     )
     spots = stage(spots, "spots").withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
-    placed = rows.join(spots.hint("merge"), same)
-    contexts = placed.select("doc_id", "mark", "text", "spots").mapInArrow(_context_rows(length, size, hot), CONTEXT)
+    placed = _moved(rows, spots).join(spots.hint("merge"), same)
+    contexts = placed.select("doc_id", "mark", "thing", "spots").mapInArrow(_unpacked(_context_rows(length, size, hot)), CONTEXT)
     # Rows that a task has settled go the same way as the others, past the sorting.
     cells = contexts.repartition("cell").sortWithinPartitions("cell")
     spans = cells.mapInArrow(_settled_or_sorted(length), "doc_id bigint, mark bigint, start bigint, stop bigint")
@@ -403,12 +407,56 @@ def repeated_spans(
     merged = stage(
         grouped.mapInArrow(_merged, "doc_id bigint, mark bigint, spans array<array<bigint>>"), "spans"
     ).withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
-    number = merged.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0]
-    cut = rows.join(F.broadcast(merged) if number <= BROADCAST_SPANS else merged, same, "left")
-    return cut.select("doc_id", "text", "spans").mapInArrow(
-        _kept,
-        "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<array<bigint>>",
-    )
+    # Texts without a span are finished where they are; the others move once more.
+    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<array<bigint>>"
+    none = F.lit(None).cast("array<array<bigint>>").alias("spans")
+    whole = _moved(rows, merged, False).select("doc_id", F.col("thing").alias("text"), none).mapInArrow(_kept, schema)
+    cut = _moved(rows, merged).join(merged.hint("merge"), same, "left").select("doc_id", "thing", "spans")
+    return whole.unionByName(cut.mapInArrow(_unpacked(_kept), schema))
+
+
+def _moved(rows: DataFrame, wanted: DataFrame, move: bool = True) -> DataFrame:
+    """doc_id, mark and text (``thing``) of at least the rows that ``wanted`` names.
+
+    These are compressed. With ``move`` off, all other rows with their plain texts. A
+    filter of fixed size tells which is which, in the same way both times.
+    """
+    spark = rows.sparkSession
+    found = spark.sparkContext.broadcast(marked_keys(wanted.select(F.xxhash64("_id", "_mark").alias("key")), "key"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            named = may_hold(found.value, batch.column("key").to_numpy(zero_copy_only=False))
+            some = batch.filter(pa.array(named if move else ~named))
+            if not some.num_rows:
+                continue
+            texts = some.column("text").cast(pa.binary())
+            if move:
+                texts = pa.array([coder.compress(t or b"") for t in texts.to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("mark"), texts], names=["doc_id", "mark", "thing"])
+
+    keyed = rows.select("doc_id", "mark", "text", F.xxhash64("doc_id", "mark").alias("key"))
+    return keyed.mapInArrow(run, "doc_id bigint, mark bigint, thing binary")
+
+
+def _unpacked(inner):
+    """``inner`` over batches whose texts came compressed, UNPACKED_ROWS at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdDecompressor()
+
+        def plain() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start in range(0, batch.num_rows, UNPACKED_ROWS):
+                    part = batch.slice(start, UNPACKED_ROWS)
+                    texts = pa.array([coder.decompress(t) for t in part.column("thing").to_pylist()], pa.large_binary())
+                    others = [c for c in part.schema.names if c != "thing"]
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), texts], names=[*others, "text"])
+
+        yield from inner(plain())
+
+    return run
 
 
 def _counted(rows: list[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
