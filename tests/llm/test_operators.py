@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 
 import corpus_pipeline
 from textprep.llm import (
-    exact_dedup, jaccard_join, language_id, licenses, mixing, packing,
+    exact_dedup, groups, jaccard_join, language_id, licenses, mixing, overlap, packing,
     quality_classifier, quality_rules, suffix_dedup, suffix_sort, toxicity,
 )
 
@@ -117,8 +117,8 @@ def test_jaccard_components(docs, size, percent):
 
 
 def test_jaccard_large_groups_and_odd_input(spark, odd, empty, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "BLOCK_DOCUMENTS", 4)
-    monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", -1)
+    monkeypatch.setattr(groups, "CELL_MEMBERS", 4)
+    monkeypatch.setattr(overlap, "BLOCK_SHINGLES", 300)
     rng = np.random.default_rng(1)
     base = [f"v{i}" for i in range(90)]
     many = {}
