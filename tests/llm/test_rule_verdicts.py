@@ -5,7 +5,7 @@ import time
 import numpy as np
 import pytest
 
-from textprep.llm import quality_rules
+from textprep.llm import exact_dedup, jaccard_join, mixing, quality_rules
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, kept string, row string, quality map<string,int>"
@@ -84,3 +84,24 @@ def test_whole_rows_stay_as_they_are(spark):
     assert sorted((r["doc_id"] or 0, r["kept"] or "") for r in kept.collect()) == [(0, ""), (1, "a"), (1, "a")]
     assert quality_rules.keep_good(odd.limit(0)).count() == 0
     assert [r["kept"] for r in quality_rules.judge(odd).orderBy("doc_id").collect()] == [True, True, True, False]
+
+
+def test_stages_keep_odd_rows_and_columns(spark):
+    long = " ".join(f"word{i}" for i in range(60))
+    near = long.replace("word59", "other")
+    rows = [
+        (1, long, None, "a", "b", {"x": 1}), (1, long, None, "a", "b", {"x": 2}), (None, long, "en", None, None, None), (None, near, "en", None, None, None),
+        (2, None, "en", "k", "r", {}), (3, near, "en", "k", "r", {}), (4, near, "en", "k", "r", {}), (2, "", "de", "k", "r", {}),
+    ]
+    odd = spark.createDataFrame(rows, SCHEMA)
+    first = exact_dedup.keep_first(odd)
+    assert first.columns == odd.columns
+    assert sorted((r["doc_id"] or 0) for r in first.collect()) == [1, 2, 3]
+    left = jaccard_join.keep_one(odd)
+    assert left.columns == odd.columns
+    # Rows of id 1 go or stay together, rows without id stay, 3 and 4 are like 1.
+    assert sorted((r["doc_id"] or 0) for r in left.collect()) == [0, 0, 1, 1, 2, 2]
+    for function in (exact_dedup.keep_first, jaccard_join.keep_one, quality_rules.keep_good):
+        assert function(odd.limit(0)).count() == 0
+    documents = odd.selectExpr("doc_id", "text", "lang", "kept as source", "row", "quality")
+    assert mixing.mixed_documents(documents.limit(0)).count() == 0
