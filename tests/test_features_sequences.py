@@ -180,3 +180,21 @@ def test_encode(spark, strategy, local):
         if len(seq) > 6:
             seq = seq[:3] + seq[-3:] if strategy == "head_tail" else seq[:6]
         assert got[i] == (seq + [0] * (6 - len(seq)), [1] * len(seq) + [0] * (6 - len(seq)))
+
+
+def test_counters_take_little_memory_whatever_the_batch():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    words = pa.DictionaryArray.from_arrays(rng.integers(0, 40, 2_000_000).astype(np.int32), [f"w{i}" for i in range(40)]).cast(pa.string())
+    rows = pa.ListArray.from_arrays(np.arange(0, 2_000_001, 200, dtype=np.int32), words)
+    batch = pa.RecordBatch.from_arrays([rows], names=["tokens"])
+    tracemalloc.start()
+    (out,) = features._summaries(TfidfConfig(), 1 << 20)(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(out.column("tf").to_pylist()) == 10_000 * (200 + 199 + 198)
+    assert max(out.column("df").to_pylist()) <= 10_000 and peak < 128 << 20
