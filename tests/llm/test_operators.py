@@ -351,3 +351,15 @@ def test_pipeline(spark, docs):
     left = brute_components(dict(first.values()), 5, 80)
     assert {r["doc_id"] for r in kept.collect()} == {i for i, (_, c) in left.items() if i == c}
     check_packed(corpus_pipeline.run(spark, SF).collect())
+
+
+@pytest.mark.parametrize("salts", [1, 32, 100])
+def test_exact_duplicates_move_texts_once(spark, odd, salts):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    found = exact_dedup.exact_duplicates(odd, salts=salts)
+    exchanges = [line for line in plan(found).splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("content" in line for line in exchanges) == 1
+    want = exact_dedup.exact_duplicates(odd).collect()
+    assert sorted(map(str, found.collect())) == sorted(map(str, want))

@@ -1,14 +1,12 @@
-"""Exact duplicates, found in three combining steps.
+"""Exact duplicates, found in two combining steps.
 
-1. Each map task combines equal texts of one (digest, salt) by partial
-   aggregation, so it sends one row per distinct text.
-2. The salted groups are merged. A digest with a third of all rows is spread
-   over ``salts`` groups of fixed-size state.
-3. The salt winners of a digest, at most ``salts`` rows per text, are combined.
+1. Each map task combines equal texts by partial aggregation, so it sends one row per
+   distinct text, also of a text that a third of all rows hold. Texts move once.
+2. Each row looks up its class by digest, salt and a second hash. A class is listed for
+   the salts that its rows have, as bits of one number, so no key of that join is hot.
 
-The whole normalised text is part of every grouping key: texts are equal only
-if their content is. Afterwards each row looks up its class by (digest, salt)
-and a second hash, so no key of that join is hot either.
+The whole normalised text is part of the grouping key: texts are equal only if their
+content is.
 """
 
 from __future__ import annotations
@@ -38,8 +36,10 @@ def exact_duplicates(
     texts of nothing but white space next to each other, are ordinary texts. A
     null id is larger than any other; if all ids of a group are null, keep_id is
     null and one row stays. Of repeated rows with one id and text, one stays.
-    Other columns are ignored. An empty table gives an empty result.
+    Other columns are ignored. An empty table gives an empty result. There are at most
+    64 salts, which only spread the work.
     """
+    salts = min(salts, 64)
     content = normalised(F.col(text))
     keyed = docs.select(
         F.col(doc_id).alias("doc_id"),
@@ -47,16 +47,16 @@ def exact_duplicates(
         F.sha2(content, 256).alias("text_sha256"),
         F.pmod(F.xxhash64(F.col(doc_id)), F.lit(salts)).cast("int").alias("salt"),
     )
-    winners = keyed.groupBy("text_sha256", "salt", "content").agg(
-        F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("salt"))
+    groups = keyed.groupBy("text_sha256", "content").agg(
+        F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"), F.bit_or(bit).alias("bits")
     )
-    same = Window.partitionBy("text_sha256", "content")
-    classes = winners.select(
-        "text_sha256",
-        "salt",
-        F.xxhash64("content").alias("mark"),
-        F.min("low").over(same).alias("keep_id"),
-        F.sum("n").over(same).alias("group_size"),
+    present = F.filter(
+        F.array(*[F.lit(i) for i in range(salts)]),
+        lambda i: F.call_function("shiftright", F.col("bits"), i).bitwiseAND(F.lit(1).cast("bigint")) != 0,
+    )
+    classes = groups.select(
+        "text_sha256", F.explode(present).alias("salt"), F.xxhash64("content").alias("mark"), "keep_id", "group_size"
     )
     rows = keyed.select("doc_id", "text_sha256", "salt", F.xxhash64("content").alias("mark"))
     found = rows.join(classes, ["text_sha256", "salt", "mark"])
