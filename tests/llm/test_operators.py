@@ -363,3 +363,19 @@ def test_exact_duplicates_move_texts_once(spark, odd, salts):
     assert sum("content" in line for line in exchanges) == 1
     want = exact_dedup.exact_duplicates(odd).collect()
     assert sorted(map(str, found.collect())) == sorted(map(str, want))
+
+
+def test_suffix_contexts_leave_before_the_batch_ends():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    n, spots = 1_500, [{"at": at, "crowded": False} for at in range(200, 1_400, 20)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n)), pa.array(range(n)), pa.array([rng.bytes(1_600) for _ in range(n)], pa.binary()), pa.array([spots] * n)],
+        names=["doc_id", "mark", "text", "spots"],
+    )
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in suffix_dedup._context_rows(200, 50)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == n * len(spots) and peak < 60 << 20, peak

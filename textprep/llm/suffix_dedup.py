@@ -46,11 +46,19 @@ HELD_STRINGS = 100_000
 BATCH_ROWS = 20_000
 CHUNK_ROWS = 4_000
 UNPACKED_ROWS = 5_000
+PART_ROWS = 2_000
 BROADCAST_ANCHORS = 2_000_000
 
 CONTEXT = "kind tinyint, cell bigint, low int, high int, doc_id bigint, mark bigint, at bigint, stop bigint, before int, context binary"
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces, so that what a task holds depends on no session's setting."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _slide(values: np.ndarray, width: int, best: np.ufunc, fill) -> np.ndarray:
     """The best of each ``width`` neighbours, by running bests from both ends of blocks."""
     n = len(values) - width + 1
@@ -92,7 +100,7 @@ def levels(reach: int) -> list[tuple[int, int]]:
 
 def _anchor_rows(length: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, PART_ROWS):
             ids, marks = batch.column("doc_id"), batch.column("mark")
             rows, places, hashes = [], [], []
             for i, text in enumerate(batch.column("text").cast(pa.large_binary()).to_pylist()):
@@ -225,9 +233,11 @@ def _context_rows(length: int, size: int, hot: frozenset[int] = frozenset()):
                                 n_strings += 1
                             continue
                         put(0, cell, least, most, doc, mark, at, 0, most, text[at - most : at + length - least])
-                    if n_strings >= HELD_STRINGS:
+                    full = n_strings >= HELD_STRINGS
+                    if full:
                         release(strings)
                         n_strings = 0
+                    if full or len(columns[0]) >= BATCH_ROWS:
                         yield from drain()
                 for start, stop in _union(done):
                     settle(doc, mark, start, stop)
@@ -305,7 +315,7 @@ def _spans_of_cells(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
-        for batch in batches:
+        for batch in _parts(batches, CHUNK_ROWS):
             now = pa.Table.from_batches([batch]).select(list(names))
             rest = now if rest is None else pa.concat_tables([rest, now])
             if rest.num_rows < CHUNK_ROWS:
@@ -345,7 +355,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _parts(batches, PART_ROWS):
         sizes, removed, counts, digests = [], [], [], []
         texts = batch.column("text").cast(pa.large_binary()).to_pylist()
         for text, spans in zip(texts, batch.column("spans").to_pylist()):
@@ -426,7 +436,7 @@ def _moved(rows: DataFrame, wanted: DataFrame, move: bool = True) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in _parts(batches, PART_ROWS):
             named = may_hold(found.value, batch.column("key").to_numpy(zero_copy_only=False))
             some = batch.filter(pa.array(named if move else ~named))
             if not some.num_rows:
