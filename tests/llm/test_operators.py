@@ -379,3 +379,19 @@ def test_suffix_contexts_leave_before_the_batch_ends():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert rows == n * len(spots) and peak < 60 << 20, peak
+
+
+def test_suffix_dedup_holds_one_worker_per_task(docs):
+    plan = suffix_dedup.repeated_spans(docs)._jdf.queryExecution().executedPlan().toString()
+    above = {}  # per depth whether a Python step is above, in the same stage
+    steps = 0
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        name = line.lstrip(" :+-").split(" ", 1)[-1] if line.lstrip(" :+-").startswith("*") else line.lstrip(" :+-")
+        inherited = any(on for d, on in above.items() if d < depth and d == max(x for x in above if x < depth))
+        above = {d: on for d, on in above.items() if d < depth}
+        python = name.startswith("MapInArrow")
+        assert not (python and inherited), plan
+        above[depth] = python or (inherited and not name.startswith("Exchange"))
+        steps += python
+    assert steps >= 3

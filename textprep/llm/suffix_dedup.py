@@ -419,37 +419,58 @@ def repeated_spans(
     ).withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
     # Texts without a span are finished where they are; the others move once more.
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<array<bigint>>"
-    none = F.lit(None).cast("array<array<bigint>>").alias("spans")
-    whole = _moved(rows, merged, False).select("doc_id", F.col("thing").alias("text"), none).mapInArrow(_kept, schema)
+    whole = _finished(rows, merged, _kept, schema)
     cut = _moved(rows, merged).join(merged.hint("merge"), same, "left").select("doc_id", "thing", "spans")
     return whole.unionByName(cut.mapInArrow(_unpacked(_kept), schema))
 
 
-def _moved(rows: DataFrame, wanted: DataFrame, move: bool = True) -> DataFrame:
-    """doc_id, mark and text (``thing``) of at least the rows that ``wanted`` names.
+def _picked(rows: DataFrame, wanted: DataFrame, named: bool):
+    """The rows with the key they are picked by, and a function that picks from batches.
 
-    These are compressed. With ``move`` off, all other rows with their plain texts. A
+    It picks at least the rows that ``wanted`` names, or with ``named`` off all others: a
     filter of fixed size tells which is which, in the same way both times.
     """
     spark = rows.sparkSession
     found = spark.sparkContext.broadcast(marked_keys(wanted.select(F.xxhash64("_id", "_mark").alias("key")), "key"))
 
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches, PART_ROWS):
+            held = may_hold(found.value, batch.column("key").to_numpy(zero_copy_only=False))
+            some = batch.filter(pa.array(held if named else ~held))
+            if some.num_rows:
+                yield some
+
+    return rows.select("doc_id", "mark", "text", F.xxhash64("doc_id", "mark").alias("key")), pick
+
+
+def _moved(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, mark and compressed text (``thing``) of at least the rows that ``wanted`` names."""
+    keyed, pick = _picked(rows, wanted, True)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdCompressor(level=1)
-        for batch in _parts(batches, PART_ROWS):
-            named = may_hold(found.value, batch.column("key").to_numpy(zero_copy_only=False))
-            some = batch.filter(pa.array(named if move else ~named))
-            if not some.num_rows:
-                continue
+        for some in pick(batches):
             texts = some.column("text").cast(pa.binary())
-            if move:
-                texts = pa.array([coder.compress(t or b"") for t in texts.to_pylist()], pa.binary())
+            texts = pa.array([coder.compress(t or b"") for t in texts.to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("mark"), texts], names=["doc_id", "mark", "thing"])
 
-    keyed = rows.select("doc_id", "mark", "text", F.xxhash64("doc_id", "mark").alias("key"))
     return keyed.mapInArrow(run, "doc_id bigint, mark bigint, thing binary")
 
 
+def _finished(rows: DataFrame, wanted: DataFrame, inner, schema: str) -> DataFrame:
+    """``inner`` over all rows that ``_moved`` leaves, with null ``spans``.
+
+    Both steps share one worker: two in a row would hold two of them per core, and each
+    keeps its memory until the executor ends it.
+    """
+    keyed, pick = _picked(rows, wanted, False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from inner(pick(batches))
+
+    return keyed.withColumn("spans", F.lit(None).cast("array<array<bigint>>")).mapInArrow(run, schema)
+
+
 def _unpacked(inner):
     """``inner`` over batches whose texts came compressed, UNPACKED_ROWS at a time."""
 
