@@ -198,3 +198,49 @@ def test_counters_take_little_memory_whatever_the_batch():
     tracemalloc.stop()
     assert sum(out.column("tf").to_pylist()) == 10_000 * (200 + 199 + 198)
     assert max(out.column("df").to_pylist()) <= 10_000 and peak < 128 << 20
+
+
+def test_merging_distinct_counters_takes_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    words = pa.DictionaryArray.from_arrays(rng.integers(0, 5000, 2_500_000).astype(np.int32), [f"w{i}" for i in range(5000)]).cast(pa.string())
+    rows = pa.ListArray.from_arrays(np.arange(0, 2_500_001, 250, dtype=np.int32), words)
+    batch = pa.RecordBatch.from_arrays([rows], names=["tokens"])
+    tracemalloc.start()
+    (out,) = features._summaries(TfidfConfig(), 1 << 20)(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.num_rows <= (1 << 20) + 1 and peak < 224 << 20
+
+
+@pytest.mark.parametrize("capacity", [1, 40, 10_000])
+def test_counters_and_their_bound_hold_the_true_counts(capacity, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(features, "SUMMARY_NEW", 300)
+    monkeypatch.setattr(features, "SLICE_TOKENS", 50)
+    rows = [text.split() for _, text in texts(7, 200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], names=["tokens"])
+    (out,) = features._summaries(TfidfConfig(), capacity)(iter([batch]))
+    *counters, end = out.to_pylist()
+    found, lost = {c["h"]: (c["tf"], c["df"]) for c in counters}, end["lost"]
+    assert len(found) == len(counters) and all(c["lost"] == 0 for c in counters)
+    assert (lost == 0) == (capacity == 10_000)
+    tf, df, hashes = Counter(), Counter(), {}
+    for row in rows:
+        own = [tuple(row[i : i + n]) for n in (1, 2, 3) for i in range(len(row) - n + 1)]
+        tf.update(own)
+        df.update(set(own))
+    for gram in tf:
+        keys = features._token_keys(pa.array(gram, pa.string()))
+        whole, _ = features._gram_keys(keys, np.zeros(len(gram), np.int64), len(gram))
+        hashes[gram] = int(whole[:, 0].view(np.int64)[0])
+    assert set(found) <= set(hashes.values())
+    for gram, h in hashes.items():
+        low_tf, low_df = found.get(h, (0, 0))
+        assert low_tf <= tf[gram] <= low_tf + lost and low_df <= df[gram] <= low_df + lost

@@ -29,10 +29,13 @@ SORT_ROWS = 1_000_000
 SORT_FACTOR = 50
 # Counters a task holds per wanted term, and at least.
 SUMMARY_FACTOR, SUMMARY_LEAST = 10, 1 << 20
-# New counters a task gathers before it merges them, about 64 MB.
-SUMMARY_NEW = 1 << 22
+# New counters a task gathers before it merges them, about 64 MB, and ranges of hashes
+# that it merges one after the other.
+SUMMARY_NEW, SUMMARY_RANGES = 1 << 22, 16
 # Tokens a task works on at once, whatever the size of a batch; a longer row goes alone.
 SLICE_TOKENS = 1 << 19
+# The same where vectors are made, which several steps of a row's weights precede.
+VECTOR_TOKENS = 1 << 17
 # Candidates that may travel to every task by their hashes, 64 MB.
 MAX_CANDIDATES = 8_000_000
 
@@ -111,14 +114,15 @@ def fits_locally(terms: DataFrame, limit: int | None = None) -> bool:
     return size["n"] <= (LOCAL_VOCABULARY if limit is None else limit) and size["bytes"] <= LOCAL_BYTES
 
 
-def _slices(tokens: pa.Array, *others: pa.Array) -> Iterator[tuple[pa.Array, ...]]:
-    """A batch's token lists, and columns beside them, in runs of SLICE_TOKENS tokens or one row."""
+def _slices(tokens: pa.Array, *others: pa.Array, most: int | None = None) -> Iterator[tuple[pa.Array, ...]]:
+    """A batch's token lists, and columns beside them, in runs of ``most`` (SLICE_TOKENS) tokens or one row."""
+    most = SLICE_TOKENS if most is None else most
     lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths, dtype=np.int64)
     start = 0
     while start < len(ends):
         done = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_TOKENS, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, done + most, side="right")))
         yield tuple(column.slice(start, stop - start) for column in (tokens, *others))
         start = stop
 
@@ -195,28 +199,47 @@ def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     return hashes[starts], *sums
 
 
+def _ranges(counters: tuple[np.ndarray, ...], count: int) -> list[tuple[np.ndarray, ...]]:
+    """Counters sorted by hash in equal ranges of the hash, without copying them."""
+    cuts = np.array([(i << 64) // count for i in range(1, count)], np.uint64)
+    ends = [0, *np.searchsorted(counters[0], cuts).tolist(), len(counters[0])]
+    return [tuple(x[a:b] for x in counters) for a, b in zip(ends, ends[1:])]
+
+
+def _most_frequent(counters: tuple[np.ndarray, ...], capacity: int) -> tuple[tuple[np.ndarray, ...], int]:
+    """At most ``capacity`` counters, and the largest of those given up."""
+    over = len(counters[0]) - capacity
+    if over <= 0:
+        return counters, 0
+    cut = int(np.partition(counters[1], over - 1)[over - 1])
+    stay = counters[1] > cut
+    return tuple(x[stay] for x in counters), cut
+
+
 def _summaries(cfg: TfidfConfig, capacity: int):
     """Counters of a task's most frequent n-grams, and by how much they may be too low.
 
-    New counters are gathered and merged SUMMARY_NEW at a time. Beyond the capacity the
-    smallest are given up; the largest of these adds to the bound on what any n-gram may
-    have lost.
+    New counters are gathered and merged SUMMARY_NEW at a time, a range of hashes after
+    the other, so that merging needs little beside them. Beyond its share of the capacity
+    a range gives up its smallest; the largest of any range adds to the bound on what any
+    n-gram may have lost.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))
+        share = -(-capacity // SUMMARY_RANGES)
+        held = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))] * SUMMARY_RANGES
         fresh: list[tuple[np.ndarray, ...]] = []
         lost = 0
 
         def settle() -> None:
-            nonlocal held, lost
-            held = _merged([held, *fresh])
+            nonlocal lost
+            parts = [_ranges(f, SUMMARY_RANGES) for f in fresh]
+            most = 0
+            for i in range(SUMMARY_RANGES):
+                held[i], cut = _most_frequent(_merged([held[i], *(p[i] for p in parts)]), share)
+                most = max(most, cut)
+            lost += most
             fresh.clear()
-            if len(held[0]) > capacity:
-                cut = int(np.partition(held[1], len(held[1]) - capacity - 1)[len(held[1]) - capacity - 1])
-                lost += cut
-                over = held[1] > cut
-                held = tuple(x[over] for x in held)
 
         for batch in batches:
             for (part,) in _slices(batch.column("tokens")):
@@ -230,14 +253,11 @@ def _summaries(cfg: TfidfConfig, capacity: int):
                 if sum(len(f[0]) for f in fresh) >= SUMMARY_NEW:
                     settle()
         settle()
-        size = len(held[0])
+        whole = [np.append(np.concatenate([h[i] for h in held]), np.zeros(1, held[0][i].dtype)) for i in range(3)]
+        bound = np.zeros(len(whole[0]), np.int64)
+        bound[-1] = lost
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.append(held[0], np.uint64(0)).view(np.int64)),
-                *(pa.array(np.append(x, 0)) for x in held[1:]),
-                pa.array(np.append(np.zeros(size, np.int64), lost)),
-            ],
-            names=["h", "tf", "df", "lost"],
+            [pa.array(x) for x in (whole[0].view(np.int64), *whole[1:], bound)], names=["h", "tf", "df", "lost"]
         )
 
     return run
@@ -460,7 +480,7 @@ def vectorizer(vocab: DataFrame, cfg: TfidfConfig = TfidfConfig(), bias: bool =
         if "members" not in cache:
             cache["members"] = _Members(hashes)
         parts = []
-        for some, signs in _slices(tokens, sign):
+        for some, signs in _slices(tokens, sign, most=VECTOR_TOKENS):
             offsets, term, weight = _weigh(some, cache["members"], check, ids, idf, cfg)
             if bias:
                 offsets, term, weight = _with_bias(offsets, term, weight, size)
